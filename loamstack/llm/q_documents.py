@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from loamstack.llm.contamination import find_leaks
 from loamstack.llm.lookalike import same_look_pairs, visual_column
+from loamstack.llm.packing import pack_texts, summary
 from loamstack.sources.tables import table
 
 QUERIES: dict = {}
@@ -22,6 +23,22 @@ def query(sql: str | None = None):
     return add
 
 
+def _packed(spark, d):
+    return pack_texts(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "pack_specs"))
+
+
+@query()
+def p7_packed(spark, d):
+    """Which text, or piece of one, lies in which container of each kind."""
+    return _packed(spark, d)
+
+
+@query()
+def p7_fill(spark, d):
+    """Containers used and how full they are, by kind."""
+    return summary(_packed(spark, d), table(spark, d, "pack_specs"))
+
+
 def _leaks(spark, d):
     return find_leaks(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "eval_items"))
 

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loamstack.llm.credentials import find_credentials
+from loamstack.llm.near_duplicates import NearDuplicates
+from loamstack.functions.scalars import canonical_repo
+from loamstack.llm.radix_cap import cap_contributors
+from loamstack.plans.catalogue import REPO_SQL
 from loamstack.sources.tables import table
 
 QUERIES: dict = {}
@@ -25,6 +29,29 @@ def _files(spark, d, *cols: str):
     return table(spark, d, "processed_files").select(*cols)
 
 
+P1_KEEP = 15
+
+
+def _capped(spark, d, left_out: bool):
+    return cap_contributors(_files(spark, d, "id", "repo_name", "quality_score"), canonical_repo(F.col("repo_name")), "quality_score", "id", max_count=P1_KEEP, left_out=left_out)
+
+
+def _capped_sql(op: str) -> str:
+    return f"FROM processed_files QUALIFY row_number() OVER (PARTITION BY {REPO_SQL} ORDER BY quality_score DESC NULLS LAST, id) {op} {P1_KEEP}"
+
+
+@query("SELECT id " + _capped_sql(">"))
+def p1_found(spark, d):
+    """Files beyond each repository's allowance."""
+    return _capped(spark, d, True).select("id")
+
+
+@query("SELECT id, repo_name, quality_score " + _capped_sql("<="))
+def p1_kept(spark, d):
+    """Files within it."""
+    return _capped(spark, d, False)
+
+
 @query()
 def p2_found(spark, d):
     """Lines on which a literal credential begins."""
@@ -37,3 +64,19 @@ def p2_redacted(spark, d):
     """Every file with its credentials replaced by placeholders."""
     f = find_credentials(_files(spark, d, "id", "content", "file_path", "language"))
     return f.select("id", F.col("cred_path").alias("file_path"), F.col("cred_text").alias("content"), F.size("cred_findings").alias("findings"))
+
+
+def _near(spark, d):
+    return NearDuplicates(_files(spark, d, "id", "content"), n=3, threshold=0.7)
+
+
+@query()
+def p5_found(spark, d):
+    """Pairs of files that share at least 0.7 of their three-token shingles."""
+    return _near(spark, d).pairs()
+
+
+@query()
+def p5_groups(spark, d):
+    """Every file with its group, by the usual five tokens and 0.8."""
+    return NearDuplicates(_files(spark, d, "id", "content")).groups()
