@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from loamstack.functions import scalars as S
 from loamstack.operators import logs, mutate, rollups, statements
 from loamstack.operators import timeseries as ts
-from loamstack.operators.radix_cap import cap_contributors
 from loamstack.plans import pipeline
 from loamstack.schemas import UNIQUE_KEYS
 from loamstack.sources.tables import table
@@ -33,7 +32,7 @@ def query(sql: str | None = None):
     return add
 
 
-_REPO_SQL = (
+REPO_SQL = (
     r"regexp_replace(regexp_replace(regexp_replace(lower(trim(repo_name)), '^(?:[a-z][a-z0-9+.-]*://)(?:[^/@]*@)?[^/]+/+|^[^/@:\s]+@[^/:]+:/*', ''), '[?#].*$', ''), '(?:\.git)?/*$', '')"
 )
 _SERIES_SQL = "coalesce(array_to_string(list_sort(list_transform(map_entries(labels), lambda e: e.key || '=' || coalesce(e.value, ''))), ','), '')"
@@ -181,14 +180,14 @@ def quality_distribution(spark, d):
 
 
 @query(
-    f"SELECT {_REPO_SQL} AS repo, count(*) AS file_count, CAST(sum(lines) AS BIGINT) AS code_lines, CAST(sum(size) AS BIGINT) AS bytes, count(*) FILTER (quality_score >= 70) AS good_files, count(DISTINCT hash) AS distinct_files FROM processed_files GROUP BY 1"
+    f"SELECT {REPO_SQL} AS repo, count(*) AS file_count, CAST(sum(lines) AS BIGINT) AS code_lines, CAST(sum(size) AS BIGINT) AS bytes, count(*) FILTER (quality_score >= 70) AS good_files, count(DISTINCT hash) AS distinct_files FROM processed_files GROUP BY 1"
 )
 def repo_rollup(spark, d):
     return rollups.repo_rollup(table(spark, d, _FILES))
 
 
 @query(
-    f"SELECT * FROM (SELECT {_REPO_SQL} AS repo, count(*) AS files, count(DISTINCT hash) AS distinct_files, round(CAST(sum(quality_score) AS DOUBLE) / count(quality_score), 6) AS mean_score FROM processed_files GROUP BY 1) WHERE mean_score < 40 OR distinct_files * 2 < files"
+    f"SELECT * FROM (SELECT {REPO_SQL} AS repo, count(*) AS files, count(DISTINCT hash) AS distinct_files, round(CAST(sum(quality_score) AS DOUBLE) / count(quality_score), 6) AS mean_score FROM processed_files GROUP BY 1) WHERE mean_score < 40 OR distinct_files * 2 < files"
 )
 def repo_exclusion_candidates(spark, d):
     return rollups.repo_exclusion_candidates(table(spark, d, _FILES))
@@ -201,7 +200,7 @@ def job_tallies(spark, d):
     return rollups.job_tallies(table(spark, d, _FILES), table(spark, d, "processing_jobs"))
 
 
-@query(f"SELECT r.id, r.full_name, coalesce(n, 0) AS files FROM repositories r LEFT JOIN (SELECT {_REPO_SQL} AS k, count(*) AS n FROM processed_files GROUP BY 1) f ON f.k = lower(r.full_name)")
+@query(f"SELECT r.id, r.full_name, coalesce(n, 0) AS files FROM repositories r LEFT JOIN (SELECT {REPO_SQL} AS k, count(*) AS n FROM processed_files GROUP BY 1) f ON f.k = lower(r.full_name)")
 def files_with_repository(spark, d):
     return rollups.files_with_repository(table(spark, d, _FILES), table(spark, d, "repositories"))
 
@@ -356,27 +355,3 @@ def classify_log_lines(spark, d):
 def tumbling_counts(spark, d):
     """Batch twin of the windowed stream (an extra)."""
     return table(spark, d, "events").groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("start"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
-
-
-# --- problem 1 ---------------------------------------------------------------------------------------------------------
-
-P1_KEEP = 15
-
-
-def _p1(spark, d, left_out: bool) -> DataFrame:
-    return cap_contributors(table(spark, d, _FILES).select("id", "repo_name", "quality_score"), S.canonical_repo(F.col("repo_name")), "quality_score", "id", max_count=P1_KEEP, left_out=left_out)
-
-
-def _p1_sql(op: str) -> str:
-    return f"FROM processed_files QUALIFY row_number() OVER (PARTITION BY {_REPO_SQL} ORDER BY quality_score DESC NULLS LAST, id) {op} {P1_KEEP}"
-
-
-@query("SELECT id " + _p1_sql(">"))
-def p1_found(spark, d):
-    """Rows beyond each repository's allowance."""
-    return _p1(spark, d, True).select("id")
-
-
-@query("SELECT id, repo_name, quality_score " + _p1_sql("<="))
-def p1_kept(spark, d):
-    return _p1(spark, d, False)
