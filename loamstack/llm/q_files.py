@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loamstack.llm.credentials import find_credentials
+from loamstack.llm.licenses import file_licences, repository_licences
 from loamstack.llm.near_duplicates import NearDuplicates
 from loamstack.functions.scalars import canonical_repo
+from loamstack.llm.provenance import classify_files
 from loamstack.llm.radix_cap import cap_contributors
+from loamstack.llm.syntax import parse_rates, parse_verdicts
 from loamstack.plans.catalogue import REPO_SQL
 from loamstack.sources.tables import table
 
@@ -80,3 +83,49 @@ def p5_found(spark, d):
 def p5_groups(spark, d):
     """Every file with its group, by the usual five tokens and 0.8."""
     return NearDuplicates(_files(spark, d, "id", "content")).groups()
+
+
+@query()
+def p3_found(spark, d):
+    """Files that do not parse as their language."""
+    return parse_verdicts(_files(spark, d, "id", "content", "language"), most_edits=1).select("id")
+
+
+@query()
+def p3_report(spark, d):
+    """Files that do not parse, with the edits that mend them and what kind of damage it is."""
+    return parse_verdicts(_files(spark, d, "id", "content", "language"))
+
+
+@query()
+def p3_rates(spark, d):
+    """Share of files that do not parse, by repository and language."""
+    return parse_rates(_files(spark, d, "id", "content", "language", "repo_name"), canonical_repo(F.col("repo_name")))
+
+
+@query()
+def p4_found(spark, d):
+    """The licence of each file, with conflicts and unknowns."""
+    return file_licences(_files(spark, d, "id", "content", "repo_name", "relative_path"), canonical_repo(F.col("repo_name")))
+
+
+@query()
+def p4_repositories(spark, d):
+    """The licence of each repository."""
+    return repository_licences(_files(spark, d, "id", "content", "repo_name", "relative_path"), canonical_repo(F.col("repo_name")))
+
+
+def _origins(spark, d):
+    return classify_files(_files(spark, d, "id", "content", "relative_path", "language", "repo_name"), canonical_repo(F.col("repo_name")))
+
+
+@query()
+def p6_found(spark, d):
+    """Files that are generated, minified, vendored or data."""
+    return _origins(spark, d).where("origin IS NOT NULL").select("id")
+
+
+@query()
+def p6_origins(spark, d):
+    """Every file's origin, and the other repository's file it repeats, if any."""
+    return _origins(spark, d)
