@@ -27,7 +27,8 @@ from loamstack.config import cut
 
 TOKEN = re.compile(r"[A-Za-z0-9_]+")
 SKETCH_BITS = 512
-ORDER_BITS = 20
+ORDER_BITS = 24
+HOT_BITS = 20
 BLOCK = 2048
 LANES = 1 << 14
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -125,31 +126,41 @@ def _sets(parts: Iterator[pd.DataFrame], n: int) -> Iterator[tuple[list, list[np
         yield p["id"].tolist(), [shingles(x, n) for x in t], t
 
 
-def _counters(rows: DataFrame, n: int) -> np.ndarray:
-    """Occurrences of shingles by slot, over all rows: tables of fixed size, merged on the executors before the driver sees them."""
+def _counters(rows: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Occurrences of shingles over all rows: in 2^ORDER_BITS slots up to 255, for the order, and in 2^HOT_BITS slots, for hot ones.
+
+    Tables of fixed size, merged on the executors before the driver sees them, one at a time.
+    """
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(1 << ORDER_BITS, np.int64)
+        fine, coarse = np.zeros(1 << ORDER_BITS, np.uint8), np.zeros(1 << HOT_BITS, np.int64)
         for _, sets, _ in _sets(parts, n):
             if any(map(len, sets)):
-                total += np.bincount((np.concatenate(sets) >> np.uint64(64 - ORDER_BITS)).astype(np.int64), minlength=1 << ORDER_BITS)
-        if total.any():
-            yield pd.DataFrame({"c": [np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()]})
+                slots, times = np.unique((np.concatenate(sets) >> np.uint64(64 - ORDER_BITS)).astype(np.int64), return_counts=True)
+                fine[slots] = np.minimum(fine[slots] + times, 255)
+                np.add.at(coarse, slots >> (ORDER_BITS - HOT_BITS), times)
+        if coarse.any():
+            yield pd.DataFrame({"f": [fine.tobytes()], "c": [np.minimum(coarse, 0xFFFFFFFF).astype(np.uint32).tobytes()]})
+
+    def add(total: list[np.ndarray], f: bytes, c: bytes) -> None:
+        seen = np.frombuffer(f, np.uint8)
+        total[0] = np.where(seen > 255 - total[0], 255, seen + total[0]).astype(np.uint8)
+        total[1] = total[1] + np.frombuffer(c, np.uint32)
 
     def merge(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(1 << ORDER_BITS, np.int64)
+        total = [np.zeros(1 << ORDER_BITS, np.uint8), np.zeros(1 << HOT_BITS, np.int64)]
         for p in parts:
-            for c in p["c"]:
-                total += np.frombuffer(c, np.uint32)
-        yield pd.DataFrame({"c": [np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()]})
+            for f, c in zip(p["f"], p["c"]):
+                add(total, f, c)
+        yield pd.DataFrame({"f": [total[0].tobytes()], "c": [np.minimum(total[1], 0xFFFFFFFF).astype(np.uint32).tobytes()]})
 
-    partial = rows.mapInPandas(count, "c binary")
+    partial = rows.mapInPandas(count, "f binary, c binary")
     if rows.rdd.getNumPartitions() > 64:
-        partial = partial.repartition(16).mapInPandas(merge, "c binary")
-    total = np.zeros(1 << ORDER_BITS, np.int64)
+        partial = partial.repartition(16).mapInPandas(merge, "f binary, c binary")
+    total = [np.zeros(1 << ORDER_BITS, np.uint8), np.zeros(1 << HOT_BITS, np.int64)]
     for r in partial.toLocalIterator():
-        total += np.frombuffer(r.c, np.uint32)
-    return total
+        add(total, r.f, r.c)
+    return total[0], np.minimum(total[1], 0xFFFFFFFF).astype(np.uint32)
 
 
 class NearDuplicates:
@@ -166,31 +177,35 @@ class NearDuplicates:
         spark = df.sparkSession
         self.rows = df.select(F.col(f"`{identifier}`").alias("id"), F.col(f"`{text}`").alias("t")).where("t IS NOT NULL")
         self.kind = self.rows.schema["id"].dataType.simpleString()
-        order = spark.sparkContext.broadcast(_counters(self.rows, n).astype(np.uint32))  # 4 MB, whatever the input
+        order = spark.sparkContext.broadcast(_counters(self.rows, n))  # 20 MB, whatever the input
         kind = self.kind
 
         def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            counts = order.value
+            fine, coarse = order.value
             for ids, sets, texts in _sets(parts, n):
                 out = []
                 for h, t in zip(sets, texts):
-                    c = counts[(h >> np.uint64(64 - ORDER_BITS)).astype(np.int64)].astype(np.int64)
-                    k = prefix_length(len(h), threshold)
-                    best = np.lexsort((h, c))[:k] if k < len(h) else np.arange(len(h))
-                    out.append((set_key(h, t), len(h), sketch(h), h[best].view(np.int64), np.minimum(-(-c[best] // BLOCK), 1 << 20).astype(np.int32)))
+                    c = fine[(h >> np.uint64(64 - ORDER_BITS)).astype(np.int64)]
+                    best = np.lexsort((h, c))[: prefix_length(len(h), threshold)]
+                    # a shingle whose slot counts one occurrence in all rows can't be shared; its place in the order remains
+                    best = best[c[best] > 1] if len(best) and c[best[0]] == 1 else best
+                    first = prefix_length(len(h), threshold) - len(best)
+                    hot = -(-coarse[(h[best] >> np.uint64(64 - HOT_BITS)).astype(np.int64)].astype(np.int64) // BLOCK)
+                    out.append((set_key(h, t), len(h), sketch(h), first, h[best].view(np.int64), np.minimum(hot, 1 << 20).astype(np.int32) if (hot > 1).any() else None))
                 if out:
-                    yield pd.DataFrame(out, columns=["class", "size", "sketch", "seeds", "blocks"]).assign(id=ids)[["id", "class", "size", "sketch", "seeds", "blocks"]]
+                    yield pd.DataFrame(out, columns=["class", "size", "sketch", "first", "seeds", "blocks"]).assign(id=ids)[["id", "class", "size", "sketch", "first", "seeds", "blocks"]]
 
-        scanned = cut(self.rows.mapInPandas(scan, f"id {kind}, class long, size int, sketch binary, seeds array<long>, blocks array<int>"))
+        scanned = cut(self.rows.mapInPandas(scan, f"id {kind}, class long, size int, sketch binary, first int, seeds array<long>, blocks array<int>"))
         self.members = scanned.select("id", "class")
-        one = scanned.groupBy("class").agg(F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.min("id").alias("rep"))
-        self.classes = one
-        # copies in one scan batch, or in several, are one posting: the pairing below counts each class once
-        posts = scanned.where("size > 0").select("class", "size", F.explode(F.arrays_zip("seeds", "blocks")).alias("p")).select("class", "size", F.col("p.seeds").alias("seed"), F.col("p.blocks").alias("nb"))
-        cold = posts.where("nb <= 1").select("seed", F.lit(0).alias("ga"), F.lit(0).alias("gb"), F.lit(0).alias("mine"), "class", "size")
-        hot = posts.where("nb > 1").withColumn("mine", F.pmod(F.hash("class"), F.col("nb")))
-        hot = hot.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).select("seed", F.least("mine", "other").alias("ga"), F.greatest("mine", "other").alias("gb"), "mine", "class", "size")
-        pairs = self._candidates(cold.unionByName(hot))
+        self.classes = scanned.groupBy("class").agg(F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.min("id").alias("rep"))
+        # a posting: seed, group of blocks, class, and size with position in one number; copies of a class are one in the pairing
+        posts = scanned.where("size > 0").select("class", "size", "first", "blocks", F.posexplode("seeds").alias("i", "seed"))
+        posts = posts.select("class", "seed", (F.shiftleft(F.col("size").cast("long"), 32) + F.col("first") + F.col("i")).alias("place"), F.coalesce(F.get("blocks", F.col("i")), F.lit(1)).alias("nb"))
+        cold = posts.where("nb <= 1").select("seed", F.lit(0).cast("long").alias("g"), "class", "place")
+        mine = F.pmod(F.hash("class"), F.col("nb")).cast("long")
+        hot = posts.where("nb > 1").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb").cast("long") - 1)))
+        g = F.shiftleft(F.least("mine", "other"), 42) + F.shiftleft(F.greatest("mine", "other"), 21) + F.col("mine") + F.lit(1 << 62)
+        pairs = self._candidates(cold.unionByName(hot.select("seed", g.alias("g"), "class", "place")))
         self.links = cut(self._settle(pairs))
 
     def _candidates(self, posts: DataFrame) -> DataFrame:
@@ -201,17 +216,21 @@ class NearDuplicates:
             whole = [p for p in parts if len(p)]
             if not whole:
                 return
-            p = pd.concat(whole, ignore_index=True)
-            seed, ga, gb, mine, cl, size = (p[c].to_numpy() for c in ("seed", "ga", "gb", "mine", "class", "size"))
-            del whole, p
-            o = np.lexsort((cl, size, gb, ga, seed))
-            seed, ga, gb, mine, cl, size = (x[o] for x in (seed, ga, gb, mine, cl, size))
+            seed, g, cl, place = (np.concatenate([p[c].to_numpy() for p in whole]) for c in ("seed", "g", "class", "place"))
+            del whole
+            mine = g & ((1 << 21) - 1)
+            g = g >> 21  # the two blocks that meet, or nothing
+            o = np.lexsort((cl, place >> 32, g, seed))
+            seed, g, mine, cl, place = (x[o] for x in (seed, g, mine, cl, place))
+            size, pos = place >> 32, place & 0xFFFFFFFF
             same = np.zeros(len(seed), bool)
-            same[1:] = (seed[1:] == seed[:-1]) & (ga[1:] == ga[:-1]) & (gb[1:] == gb[:-1])
+            same[1:] = (seed[1:] == seed[:-1]) & (g[1:] == g[:-1])
             keep = ~(same & np.r_[False, cl[1:] == cl[:-1]])  # a class once a group
-            seed, ga, gb, mine, cl, size = (x[keep] for x in (seed, ga, gb, mine, cl, size))
+            seed, g, mine, cl, size, pos = (x[keep] for x in (seed, g, mine, cl, size, pos))
             new = np.ones(len(seed), bool)
-            new[1:] = (seed[1:] != seed[:-1]) | (ga[1:] != ga[:-1]) | (gb[1:] != gb[:-1])
+            new[1:] = (seed[1:] != seed[:-1]) | (g[1:] != g[:-1])
+            # of the smaller set fewer shingles are needed, as the larger one has at least as many
+            early = pos < size - np.ceil(2 * t / (1 + t) * size - 1e-9) + 1
             group = np.cumsum(new)
             found, held = [], 0
             step = 1
@@ -223,8 +242,12 @@ class NearDuplicates:
                 ok = size[a] >= np.ceil(t * size[b] - 1e-9)  # sizes ascend within a group
                 if not ok.any():
                     break
+                ok &= early[a]
                 a, b = a[ok], b[ok]
-                apart = (ga[a] == gb[a]) | (mine[a] != mine[b])  # two blocks: only pairs across
+                apart = (g[a] == 0) | (g[a] >> 21 & ((1 << 20) - 1) == g[a] & ((1 << 21) - 1)) | (mine[a] != mine[b])  # two blocks: only pairs across
+                # shared shingles at most: those before the nearer place, this one, and what is left of the shorter rest
+                most = np.minimum(pos[a], pos[b]) + 1 + np.minimum(size[a] - pos[a], size[b] - pos[b]) - 1
+                apart &= most >= np.ceil(t / (1 + t) * (size[a] + size[b]) - 1e-9)
                 a, b = a[apart], b[apart]
                 found.append(np.stack([np.minimum(cl[a], cl[b]), np.maximum(cl[a], cl[b])]))
                 held += len(a)
@@ -237,7 +260,7 @@ class NearDuplicates:
                 q = np.unique(np.concatenate(found, axis=1), axis=1)
                 yield pd.DataFrame({"a": q[0], "b": q[1]})
 
-        spread = posts.repartition("seed", "ga", "gb")
+        spread = posts.repartition("seed", F.shiftright("g", 21))
         return spread.mapInPandas(meet, "a long, b long").distinct()
 
     def _settle(self, pairs: DataFrame) -> DataFrame:
