@@ -99,6 +99,7 @@ class Transducer:
         part = rf"[{_EMOJI}](?:[️\U0001f3fb-\U0001f3ff])*"
         self.rx = re.compile(
             rf"(?P<emoji>{part}(?:‍{part})+|[{_EMOJI}0-9#*]️|[{_EMOJI}][\U0001f3fb-\U0001f3ff])"
+            rf"|(?P<jamo>[\u1100-\u1112][\u1161-\u1175][\u11a8-\u11c2]?|[\uac00-\ud7a3][\u11a8-\u11c2])(?![{marks}])"
             rf"|(?P<cluster>[^\n{marks}{unseen}][{unseen}]*(?:[{marks}][{unseen}]*)+)"
             rf"|(?P<run>[{singles}]+(?![{marks}]))|[{singles}]"
         )
@@ -110,7 +111,7 @@ class Transducer:
         s = m.group()
         if m.lastgroup == "emoji":
             return s
-        if m.lastgroup == "cluster":
+        if m.lastgroup in ("cluster", "jamo"):
             return unicodedata.normalize("NFC", unicodedata.normalize("NFD", s).translate(self.table))
         return s.translate(self.table)
 
