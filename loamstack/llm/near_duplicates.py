@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -129,7 +130,7 @@ def _sets(parts: Iterator[pd.DataFrame], n: int) -> Iterator[tuple[list, list[np
 def _counters(rows: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Occurrences of shingles over all rows: in 2^ORDER_BITS slots up to 255, for the order, and in 2^HOT_BITS slots, for hot ones.
 
-    Tables of fixed size, merged on the executors before the driver sees them, one at a time.
+    Tables of fixed size, merged on the executors; the driver sees one.
     """
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -140,27 +141,27 @@ def _counters(rows: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
                 fine[slots] = np.minimum(fine[slots] + times, 255)
                 np.add.at(coarse, slots >> (ORDER_BITS - HOT_BITS), times)
         if coarse.any():
-            yield pd.DataFrame({"f": [fine.tobytes()], "c": [np.minimum(coarse, 0xFFFFFFFF).astype(np.uint32).tobytes()]})
+            yield packed(fine, coarse)
 
-    def add(total: list[np.ndarray], f: bytes, c: bytes) -> None:
-        seen = np.frombuffer(f, np.uint8)
-        total[0] = np.where(seen > 255 - total[0], 255, seen + total[0]).astype(np.uint8)
-        total[1] = total[1] + np.frombuffer(c, np.uint32)
+    def packed(fine: np.ndarray, coarse: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"f": [zlib.compress(fine.tobytes(), 1)], "c": [zlib.compress(np.minimum(coarse, 0xFFFFFFFF).astype(np.uint32).tobytes(), 1)]})
 
     def merge(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = [np.zeros(1 << ORDER_BITS, np.uint8), np.zeros(1 << HOT_BITS, np.int64)]
+        fine, coarse = np.zeros(1 << ORDER_BITS, np.uint8), np.zeros(1 << HOT_BITS, np.int64)
         for p in parts:
             for f, c in zip(p["f"], p["c"]):
-                add(total, f, c)
-        yield pd.DataFrame({"f": [total[0].tobytes()], "c": [np.minimum(total[1], 0xFFFFFFFF).astype(np.uint32).tobytes()]})
+                seen = np.frombuffer(zlib.decompress(f), np.uint8)
+                fine += np.minimum(seen, 255 - fine)
+                coarse += np.frombuffer(zlib.decompress(c), np.uint32)
+        yield packed(fine, coarse)
 
     partial = rows.mapInPandas(count, "f binary, c binary")
     if rows.rdd.getNumPartitions() > 64:
         partial = partial.repartition(16).mapInPandas(merge, "f binary, c binary")
-    total = [np.zeros(1 << ORDER_BITS, np.uint8), np.zeros(1 << HOT_BITS, np.int64)]
-    for r in partial.toLocalIterator():
-        add(total, r.f, r.c)
-    return total[0], np.minimum(total[1], 0xFFFFFFFF).astype(np.uint32)
+    r = partial.repartition(1).mapInPandas(merge, "f binary, c binary").first()
+    if r is None:
+        return np.zeros(1 << ORDER_BITS, np.uint8), np.zeros(1 << HOT_BITS, np.uint32)
+    return np.frombuffer(zlib.decompress(r.f), np.uint8), np.frombuffer(zlib.decompress(r.c), np.uint32)
 
 
 class NearDuplicates:
