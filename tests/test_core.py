@@ -165,3 +165,12 @@ def test_query_equals_sql(spark, name):
     a = sorted(str([r[c] for c in order]) for r in got.collect())
     b = sorted(str([dict(zip(cols, r))[c] for c in order]) for r in want.fetchall())
     assert a == b
+
+
+def test_table_functions(spark):
+    from loamstack.functions import table_functions
+
+    spark.createDataFrame([(1, "a/b", " Rust 80% C 20%", 5, "Done", 7), (2, "a/c", None, 1, "done ", 1), (3, "a/d", "Go", 1, None, None)], "id int, full_name string, language string, stars int, download_status string, code_lines int").createOrReplaceTempView("repositories")
+    table_functions.register(spark)
+    assert [r.id for r in spark.sql("SELECT * FROM repos_by_language('rust')").collect()] == [1]
+    assert {(r.status, r.repos, r.code_lines) for r in spark.sql("SELECT * FROM download_stats()").collect()} == {("done", 2, 8), ("", 1, None)}
