@@ -2,8 +2,8 @@
 
 No pair is lost, at any step:
 1. Texts become sets of 64-bit shingle hashes; texts with equal sets are one class, named by a hash of the set.
-2. Prefix filter: with all shingles in one order, two sets this alike share a shingle among the first n - ceil(t n) + 1 of each.
-   The order is rarest first by counters of all shingles in a table of fixed size, so few sets share a prefix shingle. Shingles
+2. Prefix filter: with all shingles in one order, two sets this alike share at least m shingles among the first
+   n - ceil(t n) + m of each (all they must share, where that is less than m). Candidates are pairs that share so many. The order is rarest first by counters of all shingles in a table of fixed size, so few sets share a prefix shingle. Shingles
    that many sets could share are cut into blocks and every two blocks meet in their own group.
 3. Bit-sliced comparison: each set has a sketch of parity bits, bit i telling whether an odd number of its shingles falls on i.
    One differing shingle changes one bit, so the distance of two sketches is at most the number of shingles not shared, which
@@ -31,6 +31,7 @@ SKETCH_BITS = 512
 ORDER_BITS = 24
 HOT_BITS = 20
 BLOCK = 2048
+MATCHES = 6
 LANES = 1 << 14
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -60,7 +61,8 @@ def sketch(h: np.ndarray) -> bytes:
 
 
 def prefix_length(n: int, threshold: float) -> int:
-    return n - math.ceil(threshold * n - 1e-9) + 1 if n else 0
+    """Shingles of a set of `n` that are posted: enough to show MATCHES shared ones."""
+    return min(n, n - math.ceil(threshold * n - 1e-9) + MATCHES)
 
 
 def radius(na: np.ndarray, nb: np.ndarray, threshold: float) -> np.ndarray:
@@ -210,7 +212,7 @@ class NearDuplicates:
         self.links = cut(self._settle(pairs))
 
     def _candidates(self, posts: DataFrame) -> DataFrame:
-        """Distinct pairs of classes that share a prefix shingle and whose sizes allow the threshold."""
+        """Pairs of classes that share enough prefix shingles and whose sizes and places allow the threshold."""
         t = self.threshold
 
         def meet(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -231,7 +233,7 @@ class NearDuplicates:
             new = np.ones(len(seed), bool)
             new[1:] = (seed[1:] != seed[:-1]) | (g[1:] != g[:-1])
             # of the smaller set fewer shingles are needed, as the larger one has at least as many
-            early = pos < size - np.ceil(2 * t / (1 + t) * size - 1e-9) + 1
+            early = pos < size - np.ceil(2 * t / (1 + t) * size - 1e-9) + MATCHES
             group = np.cumsum(new)
             found, held = [], 0
             step = 1
@@ -248,21 +250,29 @@ class NearDuplicates:
                 apart = (g[a] == 0) | (g[a] >> 21 & ((1 << 20) - 1) == g[a] & ((1 << 21) - 1)) | (mine[a] != mine[b])  # two blocks: only pairs across
                 # shared shingles at most: those before the nearer place, this one, and what is left of the shorter rest
                 most = np.minimum(pos[a], pos[b]) + 1 + np.minimum(size[a] - pos[a], size[b] - pos[b]) - 1
-                apart &= most >= np.ceil(t / (1 + t) * (size[a] + size[b]) - 1e-9)
-                a, b = a[apart], b[apart]
-                found.append(np.stack([np.minimum(cl[a], cl[b]), np.maximum(cl[a], cl[b])]))
+                least = np.ceil(t / (1 + t) * (size[a] + size[b]) - 1e-9).astype(np.int64)
+                apart &= most >= least
+                a, b, least = a[apart], b[apart], least[apart]
+                found.append(np.stack([np.minimum(cl[a], cl[b]), np.maximum(cl[a], cl[b]), np.minimum(least, MATCHES)]))
                 held += len(a)
                 if held > 2_000_000:
-                    q = np.unique(np.concatenate(found, axis=1), axis=1)
-                    yield pd.DataFrame({"a": q[0], "b": q[1]})
+                    yield counted(found)
                     found, held = [], 0
                 step += 1
             if held:
-                q = np.unique(np.concatenate(found, axis=1), axis=1)
-                yield pd.DataFrame({"a": q[0], "b": q[1]})
+                yield counted(found)
+
+        def counted(found: list[np.ndarray]) -> pd.DataFrame:
+            a, b, need = np.concatenate(found, axis=1)
+            o = np.lexsort((b, a))
+            a, b, need = a[o], b[o], need[o]
+            new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+            return pd.DataFrame({"a": a[new], "b": b[new], "k": np.diff(np.r_[new, len(a)]).astype(np.int32), "need": need[new].astype(np.int32)})
 
         spread = posts.repartition("seed", F.shiftright("g", 21))
-        return spread.mapInPandas(meet, "a long, b long").distinct()
+        # each shared shingle is met in one group only, so the sums are exact
+        shared = spread.mapInPandas(meet, "a long, b long, k int, need int").groupBy("a", "b").agg(F.sum("k").alias("k"), F.max("need").alias("need"))
+        return shared.where("k >= need").select("a", "b")
 
     def _settle(self, pairs: DataFrame) -> DataFrame:
         t, n = self.threshold, self.n
