@@ -9,18 +9,23 @@ all keys agree are skipped, so small identifiers take few rounds.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from loamstack.config import cut
 
 SALT = 32
+BROADCAST_ROWS = 200_000
 
 
-def _rank(value: Column, descending: bool) -> Column:
-    """A long whose order read as unsigned is the wanted order; NULL comes last."""
+def _rank(value: Column, low: int | None, high: int | None, descending: bool) -> Column:
+    """A long whose order read as unsigned is the wanted order: the distance from the best value, so that it has few bytes."""
     x = value.cast("long")
-    # moving the sign bit makes unsigned order of signed order; complement reverses it
+    if low is None:
+        return x
+    if high - low < 1 << 63:
+        return F.lit(high) - x if descending else x - F.lit(low)
+    # too wide a range for a difference: moving the sign bit makes unsigned order of signed order; complement reverses it
     y = x.bitwiseXOR(F.lit(-(1 << 63)))
     return F.bitwise_not(y) if descending else y
 
@@ -29,21 +34,23 @@ def _byte(col: str, k: int) -> Column:
     return F.shiftrightunsigned(F.col(col), 8 * k).bitwiseAND(F.lit(255)).cast("int")
 
 
-def _digits(keys: DataFrame) -> list[tuple[str, int]]:
-    """The bytes, most significant first, in which keys differ at all (one aggregate of six longs)."""
-    cols = ("_nul", "_hi", "_lo")
-    r = keys.agg(*(f(c).alias(f"{c}{n}") for c in cols for n, f in (("o", F.bit_or), ("a", F.bit_and)))).first()
-    out = []
-    for c, width in (("_nul", 1), ("_hi", 8), ("_lo", 8)):
-        differ = 0 if r[f"{c}o"] is None else (int(r[f"{c}o"]) ^ int(r[f"{c}a"])) & ((1 << 64) - 1)
-        out += [(c, k) for k in reversed(range(width)) if differ >> (8 * k) & 255]
-    return out
+def _digits(r: Row) -> list[tuple[str, int]]:
+    """The bytes that keys can differ in, most significant first, from the extremes of score and identifier."""
 
+    def width(low: int | None, high: int | None, more: int) -> int:
+        span = 0 if low is None else high - low + more
+        return 8 if span >= 1 << 63 else -(-span.bit_length() // 8)
 
-def _with_state(keys: DataFrame, state: DataFrame, how: str) -> DataFrame:
-    """Join on the contributor, each of its rows salted: a hot contributor is spread over SALT tasks."""
+    out = [("_nul", 0)] if r.no_s and r.s0 is not None else []
+    return out + [("_hi", k) for k in reversed(range(width(r.s0, r.s1, 0)))] + [("_lo", k) for k in reversed(range(width(r.i0, r.i1, 1 if r.no_i else 0)))]
+
+
+def _with_state(keys: DataFrame, state: DataFrame, how: str, few: bool) -> DataFrame:
+    """Join on the contributor: by broadcast if `few`, else by merging, with each contributor salted over SALT tasks."""
+    if few:
+        return keys.join(F.broadcast(state), "_who", how)
     state = state.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    return keys.join(state, ["_who", "_salt"], how)
+    return keys.join(state.hint("merge"), ["_who", "_salt"], how)
 
 
 def cap_contributors(df: DataFrame, contributor: Column, score: str, identifier: str, max_count: int | None = None, max_share: float | None = None, left_out: bool = False) -> DataFrame:
@@ -63,20 +70,24 @@ def cap_contributors(df: DataFrame, contributor: Column, score: str, identifier:
     own = [F.col(f"`{c}`") for c in df.columns]
     limit = min(x for x in (max_count, None if max_share is None else int(max_share * df.count())) if x is not None)
     rows = df.withColumn("_cap_row", F.struct(*own)).select("_cap_row", F.coalesce(F.concat(F.lit("="), contributor.cast("string")), F.lit("")).alias("_who"), F.col(score).alias("_s"), F.col(identifier).alias("_i"))
+    r = rows.agg(F.min("_s").cast("long").alias("s0"), F.max("_s").cast("long").alias("s1"), F.min("_i").cast("long").alias("i0"), F.max("_i").cast("long").alias("i1"), F.max(F.col("_s").isNull()).alias("no_s"), F.max(F.col("_i").isNull()).alias("no_i")).first()
+    wide = r.i0 is not None and r.i1 - r.i0 + 1 >= 1 << 63
+    # _nul: a missing score comes after every other; a missing identifier after its equals
     rows = rows.select(
         "_cap_row", "_who",
         F.when(F.col("_s").isNull(), 1).otherwise(0).cast("long").alias("_nul"),
-        F.coalesce(_rank(F.col("_s"), True), F.lit(0).cast("long")).alias("_hi"),
-        F.coalesce(_rank(F.col("_i"), False), F.lit(-1).cast("long")).alias("_lo"),
+        F.coalesce(_rank(F.col("_s"), r.s0, r.s1, True), F.lit(0).cast("long")).alias("_hi"),
+        F.coalesce(_rank(F.col("_i"), r.i0, r.i1 + 1 if r.i1 is not None else None, False), F.lit(-1 if wide else 0 if r.i0 is None else r.i1 - r.i0 + 1).cast("long")).alias("_lo"),
     ).withColumn("_salt", F.pmod(F.hash("_lo"), F.lit(SALT)))
     keys = rows.select("_who", "_salt", "_nul", "_hi", "_lo")
-    digits = _digits(keys)
+    digits = _digits(r)
     zero = F.lit(0).cast("long")
     state = keys.groupBy("_who").count().where(F.col("count") > limit).select("_who", F.lit(limit).cast("long").alias("_left"), zero.alias("_pnul"), zero.alias("_phi"), zero.alias("_plo"))
+    few = state.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS  # contributors over their allowance: counted, not guessed
     w = Window.partitionBy("_who").orderBy("_d")
     done: list[tuple[str, int]] = []
     for c, k in digits:
-        on = _with_state(keys, state, "inner")
+        on = _with_state(keys, state, "inner", few)
         for pc, pk in done:
             on = on.where(_byte(pc, pk) == F.shiftrightunsigned(F.col(f"_p{pc[1:]}"), 8 * pk).bitwiseAND(F.lit(255)).cast("int"))
         counts = on.groupBy("_who", "_left", "_pnul", "_phi", "_plo", _byte(c, k).alias("_d")).count()
@@ -96,7 +107,7 @@ def cap_contributors(df: DataFrame, contributor: Column, score: str, identifier:
         for c, k in reversed(done):
             a, b = _byte(c, k), F.shiftrightunsigned(F.col(f"_p{c[1:]}"), 8 * k).bitwiseAND(F.lit(255)).cast("int")
             cmp = F.when(a < b, -1).when(a > b, 1).otherwise(cmp)
-        return _with_state(of, state, "left").withColumn("_cmp", F.when(F.col("_left").isNotNull(), cmp))
+        return _with_state(of, state, "left", few).withColumn("_cmp", F.when(F.col("_left").isNotNull(), cmp))
 
     on_cutoff = (F.col("_cmp") == 0) & (F.col("_left") > 0)
     ties = mark(keys).where(on_cutoff).groupBy("_who").agg(F.count("*").alias("_n"), F.max("_left").alias("_room")).where("_n > _room").select("_who")
@@ -104,7 +115,7 @@ def cap_contributors(df: DataFrame, contributor: Column, score: str, identifier:
     marked = mark(rows)
     if ties.isEmpty():
         return marked.where(~keep if left_out else keep).select("_cap_row.*")
-    marked = _with_state(marked, ties.withColumn("_split", F.lit(True)), "left")
+    marked = _with_state(marked, ties.withColumn("_split", F.lit(True)), "left", few)
     split = F.coalesce(F.col("_split"), F.lit(False)) & F.coalesce(F.col("_cmp") == 0, F.lit(False))
     whole = marked.where(~split & (~keep if left_out else keep)).select("_cap_row.*")
     # rows that share score and identifier beyond the room: counted by value, so equal rows are one row with a number

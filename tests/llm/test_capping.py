@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from loamstack.llm import radix_cap
 from loamstack.llm.radix_cap import cap_contributors
 
 SCHEMA = "who string, score int, id int, _who string, _left int, count int"
@@ -24,8 +25,9 @@ def random_rows(n, seed):
     return [(r.choice(["a", "a", "a", "b", None, "c"]), r.choice([None, -3, 0, 1, 1, 99, 300, -70000]), i * r.choice([1, -1]), "x", 1, 2) for i in range(n)]
 
 
-@pytest.mark.parametrize("seed,k", [(1, 3), (3, 0)])
-def test_equals_sorting(spark, seed, k):
+@pytest.mark.parametrize("seed,k,most", [(1, 3, 100), (3, 0, 100), (2, 5, 1)])
+def test_equals_sorting(spark, monkeypatch, seed, k, most):
+    monkeypatch.setattr(radix_cap, "BROADCAST_ROWS", most)
     rows = random_rows(300, seed)
     df = spark.createDataFrame(rows, SCHEMA)
     got = [tuple(r) for r in cap_contributors(df, F.col("who"), "score", "id", max_count=k).collect()]
@@ -50,3 +52,11 @@ def test_share_empty_and_types(spark):
         cap_contributors(df, F.col("who"), "who", "id", max_count=1)
     with pytest.raises(ValueError):
         cap_contributors(df, F.col("who"), "score", "id")
+
+
+def test_extreme_values(spark):
+    big = 2**63 - 1
+    rows = [("a", s, i) for s in (big, -big - 1, 0, None) for i in (big, -big - 1, None, 5)]
+    df = spark.createDataFrame(rows, "who string, score long, id long")
+    got = {(r.score, r.id) for r in cap_contributors(df, F.col("who"), "score", "id", max_count=6).collect()}
+    assert got == {(big, x) for x in (-big - 1, 5, big, None)} | {(0, -big - 1), (0, 5)}
