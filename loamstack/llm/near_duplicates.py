@@ -166,10 +166,29 @@ def _counters(rows: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(zlib.decompress(r.f), np.uint8), np.frombuffer(zlib.decompress(r.c), np.uint32)
 
 
+def _slots(ids: pd.Series) -> np.ndarray:
+    return (pd.util.hash_pandas_object(ids, index=False).to_numpy() >> np.uint64(40)).astype(np.int64)
+
+
+def _wanted_bits(wanted: DataFrame) -> np.ndarray:
+    """Hashes of identifiers as 2^24 bits; each of a few tasks sends one map of that size."""
+
+    def fill(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = np.zeros(1 << 24, bool)
+        for p in parts:
+            bits[_slots(p["id"])] = True
+        yield pd.DataFrame({"bits": [zlib.compress(np.packbits(bits).tobytes(), 1)]})
+
+    out = np.zeros(1 << 21, np.uint8)
+    for r in wanted.select("id").coalesce(4).mapInPandas(fill, "bits binary").toLocalIterator():
+        out |= np.frombuffer(zlib.decompress(r.bits), np.uint8)
+    return out
+
+
 class NearDuplicates:
     """The join's two results: `members(id, class)` of all rows and `links(class_a, class_b, jaccard)` between classes.
 
-    Rows with a NULL text are left out: they are like nothing. Texts of fewer than `n` tokens have no shingles and belong to
+    Rows with a NULL text or identifier are left out: they are like nothing. Texts of fewer than `n` tokens have no shingles and belong to
     the class of texts equal to them. Repeated identifiers stay repeated.
     """
 
@@ -178,7 +197,7 @@ class NearDuplicates:
             raise ValueError("threshold must be above 0 and at most 1")
         self.n, self.threshold = n, threshold
         spark = df.sparkSession
-        self.rows = df.select(F.col(f"`{identifier}`").alias("id"), F.col(f"`{text}`").alias("t")).where("t IS NOT NULL")
+        self.rows = df.select(F.col(f"`{identifier}`").alias("id"), F.col(f"`{text}`").alias("t")).where("t IS NOT NULL AND id IS NOT NULL")
         self.kind = self.rows.schema["id"].dataType.simpleString()
         order = spark.sparkContext.broadcast(_counters(self.rows, n))  # 20 MB, whatever the input
         kind = self.kind
@@ -275,7 +294,7 @@ class NearDuplicates:
         return shared.where("k >= need").select("a", "b")
 
     def _settle(self, pairs: DataFrame) -> DataFrame:
-        t, n = self.threshold, self.n
+        t, n, spark = self.threshold, self.n, self.rows.sparkSession
         c = self.classes
         both = pairs.join(c.select(F.col("class").alias("a"), F.col("size").alias("na"), F.col("sketch").alias("sa"), F.col("rep").alias("ia")), "a").join(
             c.select(F.col("class").alias("b"), F.col("size").alias("nb"), F.col("sketch").alias("sb"), F.col("rep").alias("ib")), "b"
@@ -294,12 +313,16 @@ class NearDuplicates:
         close = cut(both.mapInPandas(near, f"a long, b long, ia {self.kind}, ib {self.kind}"))
         wanted = close.select(F.col("a").alias("class"), F.col("ia").alias("id")).union(close.select("b", "ib")).distinct()
 
+        there = spark.sparkContext.broadcast(_wanted_bits(wanted))  # 2 MB, whatever the number: rows without their bit stay where they are
+
         def sets(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for p in parts:
-                yield pd.DataFrame({"class": p["class"], "h": [shingles(x, n).view(np.int64) for x in p["t"]]})
+                at = _slots(p["id"])
+                p = p[(there.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1]
+                if len(p):
+                    yield pd.DataFrame({"id": p["id"], "h": [shingles(x, n).view(np.int64) for x in p["t"]]})
 
-        texts = self.rows.join(wanted, "id")
-        held = cut(texts.mapInPandas(sets, "class long, h array<long>").dropDuplicates(["class"]))
+        held = cut(self.rows.mapInPandas(sets, f"id {self.kind}, h array<long>").join(wanted, "id").dropDuplicates(["class"]))
 
         def exact(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for p in parts:
