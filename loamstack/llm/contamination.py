@@ -3,10 +3,10 @@
 Texts are compared as words (runs of letters and digits of the visual form, without letter case), each word a 64-bit hash.
 1. Every n-gram of every item goes into a bitmap of fixed size; documents are scanned once and those with a hit are kept
    with their word hashes and hits.
-2. Of each window of `run` words in an item the n-gram rarest in the corpus is chosen as its seed, so each run of that length
-   holds at least one seed while common phrases are not used where a rarer one is at hand.
-3. Documents sharing a seed with an item are candidates; the alignment of the whole document with the whole item gives the
-   longest common run and the local alignment score of edited or paraphrased copies.
+2. For edited copies every n-gram of an item is a seed, as an edit takes away the rarest ones. For whole runs alone, of each
+   window of `run` words the n-gram rarest in the corpus is the seed, so each run of that length holds at least one.
+3. Documents sharing a seed with an item are candidates; the alignment of the whole document with
+   the whole item gives the longest common run and the local alignment score of edited or paraphrased copies.
 """
 
 from __future__ import annotations
@@ -72,6 +72,36 @@ def align(a: np.ndarray, b: np.ndarray, match: int = 2, mismatch: int = 1, gap:
     return longest, best
 
 
+def align_pairs(a: list[np.ndarray], b: list[np.ndarray], match: int = 2, mismatch: int = 1, gap: int = 1, cells: int = 1 << 16) -> list[tuple[int, int]]:
+    """`align` of every pair; pairs of like length go through each vector step together, about `cells` words of `b` at a time."""
+    out: list[tuple[int, int]] = [(0, 0)] * len(a)
+    todo = sorted((k for k in range(len(a)) if len(a[k]) and len(b[k])), key=lambda k: len(b[k]))
+    while todo:
+        # the longest first: as many pairs as fit beside it
+        n = len(b[todo[-1]])
+        part = todo[-max(1, cells // n) :]
+        del todo[-len(part) :]
+        codes = np.unique(np.concatenate([x for k in part for x in (a[k], b[k])]), return_inverse=True)[1].astype(np.int32)
+        x, y, at = np.full((max(len(a[k]) for k in part), len(part), 1), -1, np.int32), np.full((len(part), n), -2, np.int32), 0
+        for r, k in enumerate(part):
+            x[: len(a[k]), r, 0] = codes[at : at + len(a[k])]
+            at += len(a[k])
+            y[r, : len(b[k])] = codes[at : at + len(b[k])]
+            at += len(b[k])
+        steps = np.arange(n + 1, dtype=np.int32) * gap
+        h, run, best, longest = np.zeros((len(part), n + 1), np.int32), np.zeros((len(part), n + 1), np.int32), np.zeros(len(part), np.int32), np.zeros(len(part), np.int32)
+        for v in x:
+            eq = y == v
+            row = np.maximum(0, h - gap)
+            row[:, 1:] = np.maximum(row[:, 1:], h[:, :-1] + eq * np.int32(match + mismatch) - mismatch)
+            h = np.maximum.accumulate(row + steps, axis=1) - steps
+            run[:, 1:] = (run[:, :-1] + 1) * eq
+            best, longest = np.maximum(best, h.max(axis=1)), np.maximum(longest, run.max(axis=1))
+        for r, k in enumerate(part):
+            out[k] = int(longest[r]), int(best[r])
+    return out
+
+
 def _item_seeds(items: DataFrame, n: int) -> DataFrame:
     def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
@@ -105,9 +135,9 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, run: int = 13, n: int = NGRAM, identifier: str = "doc_id", text: str = "text") -> DataFrame:
+def find_leaks(docs: DataFrame, items: DataFrame, run: int = 13, n: int = NGRAM, identifier: str = "doc_id", text: str = "text", edited: bool = True) -> DataFrame:
     """(doc_id, item_id, longest_run, score, share) of every document and item (`item_id`, `passage`) that have a run of
-    `run` words in common, and of those found beside them with a shorter run but an alignment worth `run` words.
+    `run` words in common and, with `edited`, of all that share an n-gram and have an alignment worth `run` words.
 
     NULL or empty texts and passages, and passages of fewer than `run` words, match nothing. Repeated documents each have
     their own rows. `share`: score over the item's own best score. No document's text is sent to the driver.
@@ -138,12 +168,15 @@ def find_leaks(docs: DataFrame, items: DataFrame, run: int = 13, n: int = NGRAM,
     source = docs.select(F.col(identifier).alias("id"), F.col(text).alias("t")).where("t IS NOT NULL")
     hit_docs = cut(source.mapInPandas(scan, f"id {kind}, words array<long>, hits array<long>"))
     flat = hit_docs.select("id", F.explode("hits").alias("seed"))
-    common = flat.groupBy("seed").agg(F.count("*").alias("df"))
-    counted = seeds.select("item_id", "pos", "seed").join(common, "seed", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    # the rarest n-gram of each window of `run` words; windows cut short by the passage's end are none
-    span = run - n
-    w = Window.partitionBy("item_id").orderBy("pos").rowsBetween(0, span)
-    chosen = counted.withColumn("best", F.min(F.struct("df", "pos", "seed")).over(w)).withColumn("full", F.count("*").over(w) == span + 1).where("full AND best.df > 0").select("item_id", F.col("best.seed").alias("seed")).distinct()
+    if edited:
+        chosen = seeds.select("item_id", "seed").distinct()
+    else:
+        common = flat.groupBy("seed").agg(F.count("*").alias("df"))
+        counted = seeds.select("item_id", "pos", "seed").join(common, "seed", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+        # the rarest n-gram of each window of `run` words; windows cut short by the passage's end are none
+        span = run - n
+        w = Window.partitionBy("item_id").orderBy("pos").rowsBetween(0, span)
+        chosen = counted.withColumn("best", F.min(F.struct("df", "pos", "seed")).over(w)).withColumn("full", F.count("*").over(w) == span + 1).where("full AND best.df > 0").select("item_id", F.col("best.seed").alias("seed")).distinct()
     chosen = _small(cut(chosen))
     pairs = flat.join(chosen, "seed").select("id", "item_id").distinct()
     whole = seeds.where("pos = 0").select("item_id", F.col("words").alias("item_words"))
@@ -151,9 +184,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, run: int = 13, n: int = NGRAM,
 
     def score(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
-            got = [align(np.asarray(a), np.asarray(b)) for a, b in zip(p["item_words"], p["words"])]
+            got = align_pairs(list(p["item_words"]), list(p["words"]))
             yield pd.DataFrame({"id": p["id"], "item_id": p["item_id"], "longest_run": [g[0] for g in got], "score": [g[1] for g in got], "share": [g[1] / (2 * len(a)) for g, a in zip(got, p["item_words"])]})
 
     item_kind = items.schema["item_id"].dataType.simpleString()
     scored = todo.mapInPandas(score, f"id {kind}, item_id {item_kind}, longest_run int, score int, share double")
-    return scored.where((F.col("longest_run") >= run) | (F.col("score") >= 2 * run)).withColumnRenamed("id", identifier)
+    return scored.where((F.col("longest_run") >= run) | (F.lit(edited) & (F.col("score") >= 2 * run))).withColumnRenamed("id", identifier)

@@ -138,6 +138,23 @@ def test_leaks_equal_brute_force(spark):
     assert len(rows) == len({(x.doc_id, x.item_id) for x in rows})
 
 
+def test_edited_copies_are_found(spark):
+    w = [f"w{k}" for k in range(40)]
+    every = {9: [x if k % 9 else "other" for k, x in enumerate(w)], 7: [x for k, x in enumerate(w) if k % 7]}
+    docs = [(1, " ".join(every[9])), (2, "a b c " + " ".join(every[7]) + " d e"), (3, " ".join(w)), (4, " ".join(w[:12]))]
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, " ".join(w))], "item_id int, passage string")
+    got = {r.doc_id: (r.longest_run, r.score) for r in K.find_leaks(d, i).collect()}
+    assert set(got) == {1, 2, 3} and got[1][0] == 8 and got[2][0] == 6 and got[3] == (40, 80)
+    assert [r.doc_id for r in K.find_leaks(d, i, edited=False).collect()] == [3]
+
+
+def test_pairs_aligned_together_score_as_alone():
+    r = np.random.default_rng(1)
+    a, b = ([r.integers(0, 9, r.integers(0, m)).astype(np.uint64) for _ in range(60)] for m in (14, 40))
+    assert K.align_pairs(a, b, cells=100) == [K.align(x, y) for x, y in zip(a, b)]
+    assert K.align_pairs([], []) == []
+
+
 def test_align_scores_edits():
     a, b = np.arange(1, 31, dtype=np.uint64), np.arange(1, 31, dtype=np.uint64)
     assert K.align(a, b) == (30, 60)
