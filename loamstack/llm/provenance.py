@@ -1,8 +1,8 @@
 """Files nobody wrote by hand for their repository: generated, minified, vendored, and data stored as code.
 
-Marked files are told by path, leading notice and token composition. Unmarked copies are traced by an inverted index of rare
-line hashes: files of other repositories that share rare lines are candidates, and the share of a file's lines that the other
-file contains is computed exactly on the whole line sets. Such resemblance alone marks no file.
+Marked files are told by path, leading notice and token composition. Unmarked copies are traced by an inverted index of line
+hashes: files of other repositories that share one of a file's rarest lines are candidates, so many lines that no source is missed,
+and the share of a file's lines that the other file contains is computed exactly. Such resemblance alone marks no file.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loamstack.config import cut
@@ -117,24 +117,42 @@ def marked_files(df: DataFrame, identifier: str = "id", path: str = "relative_pa
     return df.select(F.col(identifier), origin_column(F.col(path), F.col(text), F.col(language)).alias("origin")).where("origin IS NOT NULL")
 
 
-def line_copies(df: DataFrame, repo: Column, identifier: str = "id", text: str = "content", rare: int = 16, least_chars: int = 12, share: float = 0.8) -> DataFrame:
-    """(id, source_id, containment): files of which another repository's file contains at least `share` of the distinct lines.
+def _first_two(df: DataFrame, key: str) -> DataFrame:
+    """One row for each `key`: `b1` its (id, repo, shared) of the least id and `b2` the least of a repository other than b1's."""
+    rows = df.groupBy(key, "repo").agg(F.min(F.struct("id", "shared")).alias("b"))
+    w = Window.partitionBy(key).orderBy("b", "repo")
+    rows = rows.withColumn("rn", F.row_number().over(w)).where("rn <= 2").withColumn("b", F.struct("b.id", "repo", "b.shared"))
+    return rows.groupBy(key).agg(*(F.max(F.when(F.col("rn") == k, F.col("b"))).alias(f"b{k}") for k in (1, 2)))
 
-    Lines are compared trimmed, those under `least_chars` characters are left out. The index keeps the lines that stand in
-    2 to `rare` files; its entry names the file with the least identifier of another repository. A copy whose every line stands
-    in more files than that is a common file, not a copy of one. NULL texts and files without such lines match nothing.
+
+def line_copies(df: DataFrame, repo: Column, identifier: str = "id", text: str = "content", least_chars: int = 12, share: float = 0.8) -> DataFrame:
+    """(id, source_id, containment): files of which another repository's file contains at least `share` of the distinct lines,
+    with the least identifier of all such files.
+
+    Lines are compared trimmed, those under `least_chars` characters are left out. Files of equal line sets are one class with
+    its least identifiers in two repositories. Of m lines a source must have `share`, so it has one of any m - share * m + 1: a
+    class is looked up by so many of its rarest lines, whatever files they stand in, and lines of a single class need no lookup.
+    NULL texts and files without such lines match nothing.
     """
     lines = F.array_distinct(F.transform(F.filter(F.transform(F.split(F.col(text), "\n"), lambda x: F.trim(F.regexp_replace(x, "\\s+", " "))), lambda x: F.length(x) >= least_chars), lambda x: F.xxhash64(x)))
-    sets = df.where(F.col(text).isNotNull()).select(F.col(identifier).alias("id"), F.xxhash64(F.coalesce(repo, F.lit(""))).alias("repo"), lines.alias("lines"))
-    flat = sets.select("id", "repo", F.explode("lines").alias("line"))
-    index = flat.groupBy("line").agg(F.count("*").alias("n"), F.min("repo").alias("r0"), F.max("repo").alias("r1"), F.min(F.struct("id", "repo")).alias("first"))
-    index = index.where((F.col("n") >= 2) & (F.col("n") <= rare) & (F.col("r0") != F.col("r1"))).select("line", "first")
-    hits = flat.join(index, "line").where((F.col("first.repo") != F.col("repo"))).groupBy("id", F.col("first.id").alias("source_id")).agg(F.count("*").alias("shared"))
-    best = cut(hits.groupBy("id").agg(F.max_by("source_id", F.struct("shared", -F.col("source_id"))).alias("source_id")))
-    a = best.join(sets.select("id", "lines"), "id")
-    both = a.join(sets.select(F.col("id").alias("source_id"), F.col("lines").alias("theirs")), "source_id")
-    c = F.size(F.array_intersect("lines", "theirs")) / F.size("lines")
-    return both.select("id", "source_id", F.round(c, 4).alias("containment")).where(F.col("containment") >= share)
+    sets = df.where(F.col(text).isNotNull()).select(F.col(identifier).alias("id"), F.xxhash64(F.coalesce(repo, F.lit(""))).alias("repo"), F.sort_array(lines).alias("lines")).where(F.size("lines") > 0)
+    sets = cut(sets.withColumn("k", F.struct(F.xxhash64("lines").alias("a"), F.xxhash64(F.lit(1), F.reverse("lines")).alias("b"))))
+    members = sets.select("k", "id", "repo", F.size("lines").alias("shared"))
+    entries = cut(_first_two(members, "k"))
+    flat = sets.groupBy("k").agg(F.first("lines").alias("lines")).select("k", F.size("lines").alias("m"), F.explode("lines").alias("line"))
+    flat = cut(flat)
+    common = cut(flat.join(flat.groupBy("line").agg(F.count("*").alias("df")).where("df >= 2"), "line"))
+    # containment is rounded to four places
+    need = F.ceil(F.col("m") * (share - 0.00005) - 1e-9).cast("int")
+    classes = cut(common.groupBy("k", "m").agg(F.array_sort(F.collect_list(F.struct("df", "line"))).alias("c")).select("k", "m", need.alias("need"), F.col("c.line").alias("c")))
+    asked = classes.where(F.size("c") >= F.col("need")).select("k", "need", F.explode(F.slice("c", F.lit(1), F.size("c") - F.col("need") + 1)).alias("line"))
+    others = common.select(F.col("k").alias("of"), F.col("m").alias("most"), "line")
+    pairs = asked.join(others, "line").where((F.col("k") != F.col("of")) & (F.col("most") >= F.col("need"))).select("k", "of").distinct()
+    both = pairs.join(classes, "k").join(classes.select(F.col("k").alias("of"), F.col("c").alias("theirs")), "of").select("k", "of", "need", F.size(F.array_intersect("c", "theirs")).alias("shared")).where("shared >= need")
+    pool = both.select("k", "of", "shared").join(entries.withColumnRenamed("k", "of"), "of").select("k", "shared", F.explode(F.array("b1", "b2")).alias("e")).union(entries.where("b2 IS NOT NULL").select("k", F.col("b1.shared"), F.explode(F.array("b1", "b2"))))
+    best = _first_two(pool.where("e IS NOT NULL").select("k", "e.id", "e.repo", "shared"), "k")
+    found = members.join(best, "k").withColumn("b", F.when(F.col("b1.repo") != F.col("repo"), F.col("b1")).otherwise(F.col("b2")))
+    return found.where("b IS NOT NULL").select("id", F.col("b.id").alias("source_id"), F.round(F.col("b.shared") / F.col("shared"), 4).alias("containment")).where(F.col("containment") >= share)
 
 
 def classify_files(df: DataFrame, repo: Column, identifier: str = "id", path: str = "relative_path", text: str = "content", language: str = "language") -> DataFrame:

@@ -141,3 +141,22 @@ def test_classified_with_copies(spark):
     assert got[2].origin == "vendored" and got[2].source_id == 1 and 0.9 < got[2].containment < 1
     assert got[3].origin is None and got[3].source_id in (1, 2) and got[4].source_id is None and len(got) == 7
     assert V.classify_files(df.limit(0), F.col("repo_name")).count() == 0
+
+
+def test_line_copies_equal_brute_force(spark):
+    r = random.Random(4)
+    line = [f"a line of some text number {k}" for k in range(60)]
+    vendored = line[:20]
+    # a file in 20 repositories, one of them twice; edited copies; random sets of few, hot lines; a source that is not the one with the line's least id
+    files = [(k, f"r{k % 20}", vendored) for k in range(21)] + [(30, "s", vendored[:17] + line[40:42]), (31, "s", line[20:40] + line[50:53]), (32, "t", line[20:40]), (33, "t", line[20:30]), (34, None, line[20:39]), (35, "u", [])]
+    files += [(100 + k, f"q{r.randint(0, 3)}", r.sample(line[40:52], r.randint(1, 10))) for k in range(80)]
+    sets = [(i, repo, set(x)) for i, repo, x in files]
+    want = {}
+    for i, repo, x in sets:
+        best = min(((j, len(x & y)) for j, other, y in sets if other != repo and x and len(x & y) / len(x) >= 0.8), default=None)
+        if best:
+            want[i] = (best[0], round(best[1] / len(x), 4))
+    df = spark.createDataFrame([(i, repo, "\n".join(x)) for i, repo, x in files] + [(99, "v", None)], "id int, repo string, content string")
+    rows = V.line_copies(df, F.col("repo")).collect()
+    assert {x.id: (x.source_id, x.containment) for x in rows} == want and len(rows) == len(want)
+    assert want[0] == (1, 1.0) and want[5] == (0, 1.0)
