@@ -141,6 +141,34 @@ def spdx_class(expression: str) -> str:
     return known.get(expression.strip().lower(), "other") if len(parts) == 1 else "other"
 
 
+LONG = 2000
+_END = re.compile(r"[.?!]\s+(?=[A-Z#])|[{}]|;(?!\s)")
+
+
+def _stretch(line: str, at: int) -> tuple[int, int]:
+    """Start and end of the sentence around `at` within its comment, if it is in one; signs of code end one too."""
+    lo, hi, inside = 0, len(line), False
+    for a, b in (("/*", "*/"), ("<!--", "-->")):
+        opened, closed = line.rfind(a, 0, at), line.rfind(b, 0, at)
+        if opened > closed:
+            lo, inside = opened, True
+            end = line.find(b, at)
+            hi = len(line) if end < 0 else end + len(b)
+        elif closed >= 0:
+            lo = max(lo, closed + len(b))
+    if not inside:
+        for a in ("/*", "<!--"):
+            opened = line.find(a, at)
+            hi = min(hi, opened) if opened >= 0 else hi
+    # as far as the sentence may reach
+    near = max(lo, at - 8 * LONG)
+    for m in _END.finditer(line, near, at):
+        if not inside or m.group()[0] in ".?!":
+            near = m.end()
+    far = next((m.start() + 1 for m in _END.finditer(line, at, min(hi, at + 8 * LONG)) if not inside or m.group()[0] in ".?!"), min(hi, at + 8 * LONG))
+    return near, far
+
+
 def sentences(text: str) -> Iterator[str]:
     """Sentences of comments or prose that name a licence, line marks taken away; lines that hold it in a string are none."""
     lines = text.split("\n")
@@ -153,8 +181,19 @@ def sentences(text: str) -> Iterator[str]:
             continue
         k = int(np.searchsorted(starts, m.start(), side="right")) - 1
         before = text[starts[k] : m.start()]
+        long = len(lines[k]) > LONG
+        if long:
+            x, at = lines[k], m.start() - starts[k]
+            a, b = _stretch(x, at)
+            before = x[a:at]
+            if x[max(0, a - 1) : a] in ("'", '"', "`"):
+                continue
         bare = MARK.sub("", before, count=1)
-        if len(lines[k]) > 2000 or "=" in bare or re.search(r"(?<!\w)[\"'`]\s*$|[\"'`]\w*\s*:\s*[\"'`]", before.replace('"""', "").replace("'''", "")):
+        if "=" in bare or re.search(r"(?<!\w)[\"'`]\s*$|[\"'`]\w*\s*:\s*[\"'`]", before.replace('"""', "").replace("'''", "")):
+            continue
+        if long:
+            seen_to = starts[k] + b
+            yield _text(x[a:b])
             continue
         # the paragraph: marked lines around that are not blank, at most 8 each way
         a = k

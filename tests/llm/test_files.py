@@ -160,3 +160,13 @@ def test_line_copies_equal_brute_force(spark):
     rows = V.line_copies(df, F.col("repo")).collect()
     assert {x.id: (x.source_id, x.containment) for x in rows} == want and len(rows) == len(want)
     assert want[0] == (1, 1.0) and want[5] == (0, 1.0)
+
+
+def test_statements_on_long_lines():
+    code = "!function(a,b){return a+b;}(1,2);" * 200
+    assert N.statement("/*! lib 1.2 | Released under the MIT License */" + code) == "MIT"
+    assert N.statement(code + "/* This file is licensed under the MIT License. */" + code) == "MIT"
+    assert N.statement("// SPDX-License-Identifier: MIT\n" + code) == N.statement("/* SPDX-License-Identifier: MIT */" + code) == "MIT"
+    assert N.statement("This is a library of many parts. " * 100 + "This file is licensed under the MIT License. " + "It has more parts. " * 100) == "MIT"
+    assert N.statement(code + 'var x="Licensed under the MIT License";' + code) is None
+    assert N.statement(code) is None
