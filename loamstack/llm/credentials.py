@@ -186,6 +186,23 @@ def _line_spans(text: str, at: int, end: int, bare: bool) -> Iterator[tuple[int,
             yield start, start + len(v), "password"
 
 
+LONG, STEP = 20_000, 2_000
+
+
+def _zone_spans(text: str, at: int, end: int, first: int, bare: bool) -> list[tuple[int, int, str]]:
+    """As `_line_spans` for the values of one very long line that begin in the STEP characters from `first`: what stands around
+    them is looked at too, and further on as long as a value reaches the window's end."""
+    a, more = max(at, first - STEP), 3 * STEP
+    while True:
+        b = min(end, first + STEP + more)
+        if first >= end or not MIXED.search(text, a, b) and not NEXT_LINE.search(text, a, b):
+            return []
+        got = [s for s in _line_spans(text, a, b, bare) if first <= s[0] < first + STEP or s[2] == "continued" and s[0] >= first]
+        if b == end or all(s[1] < b for s in got):
+            return got
+        more *= 2
+
+
 def find(text: str, language: str = "") -> list[tuple[int, int, str]]:
     """Spans (start, end, kind) of credential values in order, overlapping ones merged; kind `continued`: a further literal of the value before."""
     lower = text.lower()
@@ -200,10 +217,10 @@ def find(text: str, language: str = "") -> list[tuple[int, int, str]]:
         at, end = text.rfind("\n", 0, stop - n + 1) + 1, text.find("\n", stop)
         end = len(text) if end < 0 else end
         done = end
-        if end - at > 20_000:  # one very long line: its literals are looked at one by one, around each hit
-            spans += [s for m in ISSUER.finditer(text, at, end) for s in [(m.start(), m.end(), m.lastgroup or "")] if m.lastgroup != "jwt" or is_jwt(m.group())]
-            for piece in re.finditer(r"[^;{}]{1,4000}", text[at:end]):
-                spans += _line_spans(text, at + piece.start(), at + piece.end(), bare)
+        if end - at > LONG:
+            zones = {(x - k + 1 - at) // STEP for x, k in _automaton().iter(lower, at, end)}
+            for z in sorted(zones | {z + 1 for z in zones}):
+                spans += _zone_spans(text, at, end - (text[end - 1] == "\r"), at + z * STEP, bare)
             continue
         if not MIXED.search(text, at, end) and not NEXT_LINE.search(text, at, end):
             continue

@@ -45,3 +45,12 @@ def test_rows(spark):
     assert [[f.line_no for f in r.cred_findings] for r in got] == [[], [], [0, 1], [1], [2]]
     assert got[0].cred_text is None and got[1].cred_text == "" and TOKEN not in got[2].cred_path
     assert C.find_credentials(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("piece", [f'c="Server=h;User=svc_a;Password={WORD};Pool=3"', f'password:"{WORD}{{x;y}}Q7"', 'password="' + "aB3xK9" * 1500 + '"', f'token="{TOKEN}"', f'url="postgres://svc_a:{WORD.replace("#", "_")}@db.example:5432/x"'])
+@pytest.mark.parametrize("shift", [0, 1985, 3995, 7990])
+def test_long_lines_as_short_ones(piece, shift):
+    pad = "f(a,b);" * 4000
+    before = "g(c);" * (shift // 5)
+    want = [(a + len(pad) + len(before) + 1, b + len(pad) + len(before) + 1, k) for a, b, k in C.find(" " + piece + ";", "javascript")]
+    assert want and C.find(pad + before + "  " + piece + ";" + pad, "javascript") == want
