@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 # fixed values: words near credentials (lower case); a line without any of them is never looked at
 KEYWORDS = (
-    "passw pwd passphrase pass pw= secret token key auth bearer basic credential login connect dial conn:: pool session "
-    "private akia asia ghp_ gho_ ghs_ github_pat_ sk- sk_ rk_ hf_ xox glpat- eyj aiza npm_ pypi- sg. :// curl "
+    "passw pwd passphrase pass pw secret token key auth bearer basic credential login connect dial conn open get sign_in signin client pool session "
+    "private akia asia ghp_ gho_ ghu_ ghs_ ghr_ github_pat_ sk- sk_ rk_ hf_ xox glpat- eyj aiza npm_ pypi- sg. sig= signature= :// curl -u"
 ).split()
 
 # fixed values: issuers' token formats

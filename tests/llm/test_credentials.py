@@ -54,3 +54,8 @@ def test_long_lines_as_short_ones(piece, shift):
     before = "g(c);" * (shift // 5)
     want = [(a + len(pad) + len(before) + 1, b + len(pad) + len(before) + 1, k) for a, b, k in C.find(" " + piece + ";", "javascript")]
     assert want and C.find(pad + before + "  " + piece + ";" + pad, "javascript") == want
+
+
+@pytest.mark.parametrize("text,lang", [(f'db_pw = "{WORD}"', "python"), (f"pw: {WORD}", "yaml"), (f"# pw is {WORD}", "python"), (f'x = "ghu_{TOKEN[4:]}"', "python"), (f'x = "ghr_{TOKEN[4:]}"', "python"), ("/v1/a?sig=Zx9Kq2Lm8Np4Rt6Vw1Yb", "text"), ("a?signature=Zx9Kq2Lm8Np4Rt6Vw1Yb", "text"), (f'open(host, "svc_a", "{WORD}")', "go"), (f'sign_in("svc_a", "{WORD}")', "ruby"), (f'Client(host, "svc_a", "{WORD}")', "python"), (f"fetch -u svc_a:{WORD} h", "shell")])
+def test_every_anchor_is_a_keyword(text, lang):
+    assert C.find(text, lang)
