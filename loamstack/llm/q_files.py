@@ -8,7 +8,7 @@ from loamstack.llm.credentials import find_credentials
 from loamstack.llm.licenses import file_licences, repository_licences
 from loamstack.llm.near_duplicates import NearDuplicates
 from loamstack.functions.scalars import canonical_repo
-from loamstack.llm.provenance import classify_files
+from loamstack.llm.provenance import classify_files, marked_files
 from loamstack.llm.radix_cap import cap_contributors
 from loamstack.llm.syntax import parse_rates, parse_verdicts
 from loamstack.plans.catalogue import REPO_SQL
@@ -115,17 +115,17 @@ def p4_repositories(spark, d):
     return repository_licences(_files(spark, d, "id", "content", "repo_name", "relative_path"), canonical_repo(F.col("repo_name")))
 
 
-def _origins(spark, d):
-    return classify_files(_files(spark, d, "id", "content", "relative_path", "language", "repo_name"), canonical_repo(F.col("repo_name")))
+def _placed(spark, d):
+    return _files(spark, d, "id", "content", "relative_path", "language", "repo_name"), canonical_repo(F.col("repo_name"))
 
 
 @query()
 def p6_found(spark, d):
     """Files that are generated, minified, vendored or data."""
-    return _origins(spark, d).where("origin IS NOT NULL").select("id")
+    return marked_files(*_placed(spark, d)).select("id")
 
 
 @query()
 def p6_origins(spark, d):
     """Every file's origin, and the other repository's file it repeats, if any."""
-    return _origins(spark, d)
+    return classify_files(*_placed(spark, d))

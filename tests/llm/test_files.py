@@ -131,6 +131,29 @@ def test_origin(path, text, lang, want):
     assert V.origin(path, text, lang) == want
 
 
+def test_marks_on_any_text():
+    assert V.origin("x.json", '{"name": "' + "n" * 600 + '", "lockfileVersion": 3}', "json") == "generated"
+    assert V.origin("lib/a.json", '{"a": [[' + "], [".join(f"{k}.5, -{k}.25, {k}" for k in range(60)) + "]]}", "JSON") == "data"
+    assert V.origin("conf/a.json", '{"a": {"port": 8080, "hosts": ["x", "y"], "limits": [1, 2, 3]}, "b": "' + "word " * 60 + '"}', "JSON") is None
+    assert V.origin("src/license_table.py", "t = [\n" + "    0x4d, 0xc2, 0xf3, 0xee, 0xbb, 0x17, 0x91,\n" * 20 + "]\n", "python") == "data" and V.origin("LICENSE.txt", "x = 1", "python") is None
+
+
+def test_weak_marks_count_for_copies_only(spark):
+    line = [f"a line of some text number {k}" for k in range(40)]
+    text, edited = "\n".join(line), "\n".join(line[:36] + ["another line of this file"])
+    rows = [(1, "src/a.py", text, "python", "p"), (2, "libs/a-1.2/a.py", edited, "python", "q"), (3, "libs/own.py", "x = 1\nthe only line like this\n", "python", "q"), (4, "src/b.py", edited, "python", "r"), (5, "src/c.py", "# Adapted from a, see there.\n" + edited, "python", "s")]
+    df = spark.createDataFrame(rows, "id int, relative_path string, content string, language string, repo_name string").withColumn("weak", F.lit(True))
+    assert {(r.id, r.origin) for r in V.marked_files(df, F.col("repo_name")).collect()} == {(2, "vendored"), (5, "vendored")}
+    assert {r.id: r.origin for r in V.classify_files(df, F.col("repo_name")).collect()} == {1: None, 2: "vendored", 3: None, 4: None, 5: "vendored"}
+    assert V.marked_files(df.where("id in (1, 4)"), F.col("repo_name")).count() == 0
+
+
+def test_forty_copies(spark):
+    text = "\n".join(f"a line of some text number {k}" for k in range(20))
+    df = spark.createDataFrame([(k, text, f"r{k}") for k in range(40)], "id int, content string, repo string")
+    assert {(r.id, r.source_id) for r in V.line_copies(df, F.col("repo")).collect()} == {(0, 1)} | {(k, 0) for k in range(1, 40)}
+
+
 def test_classified_with_copies(spark):
     r = random.Random(5)
     body = "\n".join(f"line number {r.random()} of this file" for _ in range(40))
