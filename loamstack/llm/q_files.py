@@ -88,7 +88,7 @@ def p5_groups(spark, d):
 @query()
 def p3_found(spark, d):
     """Files that do not parse as their language."""
-    return parse_verdicts(_files(spark, d, "id", "content", "language"), most_edits=1).select("id")
+    return parse_verdicts(_files(spark, d, "id", "content", "language")).select("id")
 
 
 @query()
