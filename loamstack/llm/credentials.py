@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import binascii
 import re
+import zlib
 from collections.abc import Iterator
 
 import ahocorasick
@@ -95,6 +96,26 @@ def is_basic(v: str) -> bool:
     return bool(colon and user and word) and raw.isprintable() and not PLACEHOLDER.match(word)
 
 
+_BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+
+
+def has_checksum(token: str) -> bool:
+    """Do the last six characters of a token with a prefix hold the CRC-32 of the rest in base 62, as some issuers publish it?"""
+    body = token.rpartition("_")[2]
+    n, digits = zlib.crc32(body[:-6].encode()), ""
+    for _ in range(6):
+        n, d = divmod(n, 62)
+        digits = _BASE62[d] + digits
+    return len(body) > 6 and digits == body[-6:]
+
+
+def verified(kind: str, value: str) -> bool:
+    """Does the value prove itself: a checksum, a readable JWT head, a readable login, key material? Others may be live all the same."""
+    if kind in ("github", "package"):
+        return not value.startswith(("github_pat_", "pypi-")) and has_checksum(value)
+    return kind == "jwt" and is_jwt(value) or kind == "private-key" or kind == "login" and is_basic(value)
+
+
 def is_jwt(v: str) -> bool:
     head = v.split(".", 1)[0]
     try:
@@ -134,7 +155,7 @@ def _line_spans(text: str, at: int, end: int, bare: bool) -> Iterator[tuple[int,
         if len(set(m.group())) >= 8:
             yield at + m.start(), at + m.end(), "token"
             n = CONTINUED.match(text, at + m.end())
-            while n and text.count("\n", at + m.end(), n.start("value")) < 9:
+            while n:
                 yield n.start("value"), n.end("value"), "continued"
                 n = CONTINUED.match(text, n.end("value"))
     for m in SCHEME.finditer(line):
@@ -250,8 +271,19 @@ def find_in_path(path: str) -> list[tuple[int, int, str]]:
     return sorted(spans)
 
 
+_HEX_DIGITS, _BASE32 = set("0123456789abcdefABCDEF"), set("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
+
+
 def _mask(piece: str) -> str:
-    return "".join("0" if c.isdigit() else "X" if c.isupper() else "x" if c.isalpha() else c for c in piece)
+    """As many characters of the same alphabet: hexadecimal stays hexadecimal, base 32 stays base 32, else letter cases and digits stay."""
+    used = {c for c in piece if c.isalnum()}
+    if used <= _HEX_DIGITS:
+        digit, upper, lower = "0", "A", "a"
+    elif used <= _BASE32 and len(piece) >= 16:
+        digit, upper, lower = "2", "A", "a"
+    else:
+        digit, upper, lower = "0", "X", "x"
+    return "".join(digit if c.isdigit() else upper if c.isupper() else lower if c.isalpha() else c for c in piece)
 
 
 def _mask_key(piece: str) -> str:
@@ -271,7 +303,7 @@ def redact(text: str, spans: list[tuple[int, int, str]]) -> str:
 
 
 def find_credentials(df: DataFrame, text: str = "content", path: str = "file_path", language: str = "language", with_text: bool = True) -> DataFrame:
-    """`df` with `cred_findings array<struct<line_no, kind>>` (line 0: in the path) and, with `with_text`, `cred_text` and
+    """`df` with `cred_findings array<struct<line_no, kind, verified>>` (line 0: in the path; `verified`: by a checksum or by its structure) and, with `with_text`, `cred_text` and
     `cred_path`, the redacted forms. NULL text or path have no findings and stay NULL; empty text stays empty. Only the three
     named columns go through Python; a text is scanned whole. Each row is settled alone, so nothing is shuffled.
     """
@@ -283,23 +315,23 @@ def find_credentials(df: DataFrame, text: str = "content", path: str = "file_pat
                 found, new_t, new_p = [], t, p
                 if p:
                     s = find_in_path(p)
-                    found += [{"line_no": 0, "kind": k} for _, _, k in s[:1]]
+                    found += [{"line_no": 0, "kind": k, "verified": verified(k, p[a:b])} for a, b, k in s[:1]]
                     new_p = redact(p, s) if s else p
                 if t:
                     s = find(t, (g or "").strip().lower())
                     seen = set()
-                    for a, _, k in s:
+                    for a, b, k in s:
                         if k == "continued":
                             continue
                         n = t.count("\n", 0, a) + 1
                         if n not in seen:
                             seen.add(n)
-                            found.append({"line_no": n, "kind": k})
+                            found.append({"line_no": n, "kind": k, "verified": verified(k, t[a:b])})
                     new_t = redact(t, s) if s else t
                 rows.append((found, new_t, new_p) if with_text else (found,))
             yield pd.DataFrame(rows, columns=["f", "t", "p"] if with_text else ["f"])
 
-    kind = "f array<struct<line_no int, kind string>>" + (", t string, p string" if with_text else "")
+    kind = "f array<struct<line_no int, kind string, verified boolean>>" + (", t string, p string" if with_text else "")
     out = df.withColumn("_cred", F.pandas_udf(run, kind)(F.col(text), F.col(path), F.col(language)))
     cols = {"cred_findings": F.col("_cred.f")} | ({"cred_text": F.col("_cred.t"), "cred_path": F.col("_cred.p")} if with_text else {})
     return out.withColumns(cols).drop("_cred")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loamstack.llm.contamination import find_leaks
-from loamstack.llm.lookalike import same_look_pairs, visual_column
+from loamstack.llm.lookalike import same_look_classes, same_look_pairs, visual_column
 from loamstack.llm.packing import pack_texts, summary
 from loamstack.sources.tables import table
 
@@ -61,6 +61,12 @@ def p9_found(spark, d):
     return same_look_pairs(table(spark, d, "documents")).select(F.col("id_a").alias("doc_id_a"), F.col("id_b").alias("doc_id_b"))
 
 
+@query()
+def p9_classes(spark, d):
+    """Stored texts whose form has several, each with its first document and number of copies."""
+    return same_look_classes(table(spark, d, "documents"))
+
+
 @query()
 def p9_forms(spark, d):
     """Every document in its one form."""

@@ -59,3 +59,31 @@ def test_long_lines_as_short_ones(piece, shift):
 @pytest.mark.parametrize("text,lang", [(f'db_pw = "{WORD}"', "python"), (f"pw: {WORD}", "yaml"), (f"# pw is {WORD}", "python"), (f'x = "ghu_{TOKEN[4:]}"', "python"), (f'x = "ghr_{TOKEN[4:]}"', "python"), ("/v1/a?sig=Zx9Kq2Lm8Np4Rt6Vw1Yb", "text"), ("a?signature=Zx9Kq2Lm8Np4Rt6Vw1Yb", "text"), (f'open(host, "svc_a", "{WORD}")', "go"), (f'sign_in("svc_a", "{WORD}")', "ruby"), (f'Client(host, "svc_a", "{WORD}")', "python"), (f"fetch -u svc_a:{WORD} h", "shell")])
 def test_every_anchor_is_a_keyword(text, lang):
     assert C.find(text, lang)
+
+
+def test_masks_keep_the_alphabet():
+    assert C._mask("deadbeef0123") == "aaaaaaaa0000" and C._mask("DEADBEEF0123") == "AAAAAAAA0000"
+    bytes.fromhex(C._mask("9f86d081884c7d65"))
+    base64.b32decode(C._mask("JBSWY3DPEHPK3PXPJBSWY3DPEHPK3PXP"))
+    assert base64.b64decode(C._mask(BASIC)) and len(C._mask(WORD)) == len(WORD) and C._mask("aB3-x_Y") == "xX0-x_X"
+
+
+def test_checksums_prove_tokens():
+    import zlib
+
+    body, digits, n = "aB3dE5gH7jK9mN1pQ3sT5vW7yZ9bC1", "", zlib.crc32(b"aB3dE5gH7jK9mN1pQ3sT5vW7yZ9bC1")
+    for _ in range(6):
+        n, d = divmod(n, 62)
+        digits = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"[d] + digits
+    good = "gh" + "p_" + body + digits
+    assert C.has_checksum(good) and not C.has_checksum(TOKEN) and C.verified("github", good) and C.verified("jwt", JWT) and not C.verified("password", WORD)
+    for t in (good, TOKEN):  # one that proves nothing may be live all the same
+        assert C.find(f'x = "{t}"', "python")
+
+
+def test_many_adjacent_literals():
+    parts = [f"aB3xK9qT{k:02d}" for k in range(30)]
+    text = 'x = "ghp_' + 'a1B2c3D4e5"\n  "'.join(parts) + '"\n'
+    s = C.find(text, "python")
+    out = C.redact(text, s)
+    assert len({text.count("\n", 0, a) for a, _, k in s if k != "continued"}) == 1 and not any(p in out for p in parts)

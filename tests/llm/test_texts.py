@@ -35,6 +35,22 @@ def test_form_is_stable(t):
     assert L.visual_form(unicodedata.normalize("NFD", unicodedata.normalize("NFC", t))) == L.visual_form(unicodedata.normalize("NFC", t))
 
 
+@pytest.mark.parametrize("a,b", [("\u13aa", "A"), ("\u13b3", "W"), ("\u217c", "l"), ("\u2167", "VIII"), ("\u2c9f", "o"), ("\u0261", "g"), ("\ua4d0", "B"), ("x\u200d\u0301", "x\u0301"), ("\u1112\u1161\u11ab", "\ud55c"), ("\ud558\u11ab", "\ud55c"), ("\u2764\ufe0f\ufe0f", "\u2764\ufe0f")])
+def test_more_that_reads_the_same(a, b):
+    assert L.visual_form("q" + a + "z") == "q" + b + "z"
+
+
+@pytest.mark.parametrize("a", ["\U0001f469\u200d\U0001f4bb", "1\ufe0f\u20e3", "\U0001f44d\U0001f3fd", "\u2764\ufe0f\u200d\U0001f525", "x\u00b2", "\U0001d400"])
+def test_clusters_kept_as_they_are(a):
+    assert L.visual_form(a) == a and L.visual_form(a) != L.visual_form(a.replace("\u200d", ""). replace("\ufe0f", "").replace("\U0001f3fd", "") + "y")
+
+
+def test_same_look_classes(spark):
+    rows = [(1, "A b"), (2, "\uff21 b"), (3, "\uff21 b"), (4, "a b"), (5, None), (6, "")]
+    got = sorted((r.first_id, r.rows) for r in L.same_look_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(1, 1), (2, 2)]
+
+
 def test_same_look_pairs(spark):
     rows = [(1, "paper café", "x"), (2, "pаper café", "x"), (3, "paper café", None), (4, None, "x"), (5, None, "x"), (6, "", "x"), (7, "​", "x"), (8, "Paper café", "x"), (9, "a" * 500_000, "x"), (10, "a" * 500_000 + "​", "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, form string")
