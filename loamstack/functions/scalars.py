@@ -40,9 +40,47 @@ def heuristic_score(text: Column) -> Column:
     return line_count(text) * 10 + F.length(text) * 2
 
 
+def micros_between(since: Column, until: Column) -> Column:
+    """Microseconds between two times without zone; the session's zone plays no part."""
+    d = until.cast("timestamp_ntz") - since.cast("timestamp_ntz")
+    whole = (F.extract(F.lit("DAY"), d) * 24 + F.extract(F.lit("HOUR"), d)) * 60 + F.extract(F.lit("MINUTE"), d)
+    return whole.cast("bigint") * 60_000_000 + (F.extract(F.lit("SECOND"), d) * 1_000_000).cast("bigint")
+
+
+def ntz_micros(ts: Column) -> Column:
+    """Microseconds since 1970 of a time without zone."""
+    return micros_between(F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), ts)
+
+
+def ntz_time(micros: Column) -> Column:
+    """The time without zone of so many microseconds since 1970."""
+    return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + F.make_dt_interval(secs=(micros / F.lit(1_000_000).cast("decimal(10,0)")).cast("decimal(18,6)"))
+
+
+def seconds_between(since: Column, until: Column) -> Column:
+    """Elapsed seconds as a double."""
+    return micros_between(since, until) / 1e6
+
+
+def time_bucket(ts: Column, seconds: int) -> Column:
+    """Start of the bucket of that many seconds, counted from 1970."""
+    us = seconds * 1_000_000
+    return ntz_time(ntz_micros(ts) - F.pmod(ntz_micros(ts), F.lit(us)))
+
+
 def age_days(since: Column, as_of: Column) -> Column:
     """Whole 24-hour days between; 0 where `since` is unknown."""
-    return F.coalesce(F.expr("0") + F.floor((F.unix_seconds(as_of.cast("timestamp")) - F.unix_seconds(since.cast("timestamp"))) / 86400), F.lit(0).cast("bigint"))
+    return F.coalesce(F.floor(micros_between(since, as_of) / 86_400_000_000), F.lit(0).cast("bigint"))
+
+
+def now() -> Column:
+    """The time without zone at which a query runs; queries that must repeat take an `as_of` instead."""
+    return F.localtimestamp()
+
+
+def alternative(x: Column, default: str) -> Column:
+    """`default` where `x`, a field read from JSON, is missing, null or false."""
+    return F.when(x.isNull() | x.isin("null", "false"), F.lit(default)).otherwise(x)
 
 
 def backoff_seconds(attempt: Column, initial: float, factor: float, cap: float) -> Column:

@@ -31,3 +31,14 @@ def status_fields(doc: Column) -> list[Column]:
         F.bround(g("$.gpu_memory_used").cast("double"), 1).alias("gpu_used"),
         F.bround(g("$.gpu_memory_total").cast("double"), 1).alias("gpu_total"),
     ]
+
+
+def search(df: DataFrame, text: str, terms: list[str], k: int, order: str) -> DataFrame:
+    """The `k` rows with most occurrences of all terms (whole words, letter case aside) with their `hits`; ties by `order`.
+
+    Rows without a term are dropped by the scan's own filter; only `k` rows a task are sent on.
+    """
+    words = "|".join(rf"\Q{t.lower()}\E" for t in terms)
+    pattern = rf"(?<![\p{{L}}\p{{N}}_])(?:{words})(?![\p{{L}}\p{{N}}_])"
+    low = F.lower(F.col(text))
+    return df.where(low.rlike(pattern)).withColumn("hits", F.regexp_count(low, F.lit(pattern))).orderBy(F.desc("hits"), order).limit(k)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -45,12 +46,32 @@ def orphans(child: DataFrame, parent: DataFrame, foreign: str, primary: str) ->
 
 
 def key_violations(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
-    """Number of values that occur more than once, for each column that should be unique."""
-    parts = []
-    for k in keys:
-        d = df.where(F.col(k).isNotNull()).groupBy(k).count().where("count > 1")
-        parts.append(d.agg(F.count("*").alias("repeated_values"), F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("long").alias("surplus_rows")).select(F.lit(table).alias("table_name"), F.lit(k).alias("key_name"), "repeated_values", "surplus_rows"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Number of values that occur more than once, for each column that should be unique: one scan, all columns counted together."""
+    each = df.select(F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.col(k).cast("string").alias("v")) for k in keys))).alias("e")).select("e.*")
+    n = each.where("v IS NOT NULL").groupBy("k", "v").agg(F.count("*").alias("n")).where("n > 1")
+    one = n.agg(*(a for k in keys for a in (F.count_if(F.col("k") == k).alias(f"r_{k}"), F.coalesce(F.sum(F.when(F.col("k") == k, F.col("n") - 1)), F.lit(0)).cast("long").alias(f"s_{k}"))))
+    rows = F.explode(F.array(*(F.struct(F.lit(table).alias("table_name"), F.lit(k).alias("key_name"), F.col(f"r_{k}").alias("repeated_values"), F.col(f"s_{k}").alias("surplus_rows")) for k in keys)))
+    return one.select(rows.alias("e")).select("e.*")
+
+
+def append_new(spark, path: str, incoming: DataFrame, key: list[str], order: list[str]) -> int:
+    """The append sink of an insert that ignores conflicts: rows of `incoming` with new keys are added to the Parquet table at `path`.
+
+    Returns how many. A missing table is begun. Run one writer at a time: Parquet has no lock.
+    """
+    try:
+        existing = spark.read.parquet(path).select(*key)
+    except AnalysisException:
+        existing = incoming.select(*key).limit(0)
+    rows = insert_ignore(existing, incoming, key, order)
+    seen = Observation()
+    rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
+    return seen.get["n"]
+
+
+def touch(before: DataFrame, after: DataFrame, key: str, as_of: Column, stamp: str = "updated_at") -> DataFrame:
+    """`after` with `stamp` set to `as_of` on the rows that differ from `before` in any other column, as an update trigger does."""
+    others = [c for c in after.columns if c not in (key, stamp)]
+    old = before.select(F.col(key), F.struct(*others).alias("_old"))
+    changed = F.col("_old").isNotNull() & ~F.struct(*others).eqNullSafe(F.col("_old"))
+    return after.join(old, key, "left").withColumn(stamp, F.when(changed, as_of).otherwise(F.col(stamp))).select(*after.columns)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamstack.functions.scalars import canonical_repo, clean_language, language_key
+from loamstack.functions.scalars import canonical_repo, clean_language, language_key, seconds_between
 
 
 def language_balance(files: DataFrame) -> DataFrame:
@@ -62,3 +62,52 @@ def training_totals(state: DataFrame) -> DataFrame:
 
 def topk_repositories(repos: DataFrame, k: int) -> DataFrame:
     return repos.orderBy(F.desc_nulls_last("stars"), F.desc_nulls_last("quality_score"), "id").limit(k).select("id", "full_name", "stars", "quality_score")
+
+
+def quality_observations(repos: DataFrame, least: int) -> DataFrame:
+    """Repositories that pass a least score and those that do not, with what their scores look like. NULL does not pass."""
+    passed = F.coalesce(F.col("quality_score") >= least, F.lit(False))
+    return repos.agg(F.count_if(passed).alias("passed"), F.count_if(~passed).alias("filtered"), F.count("quality_score").alias("scores"), F.min("quality_score").alias("least"), F.max("quality_score").alias("most"))
+
+
+def download_observations(jobs: DataFrame) -> DataFrame:
+    """By worker: jobs that ended well or failed, and the seconds and files of those that ended. Times before the start count as they are."""
+    status = F.lower(F.trim("status"))
+    ended = status == "completed"
+    seconds = seconds_between(F.col("started_at"), F.col("completed_at"))
+    return jobs.groupBy(F.coalesce("worker_id", F.lit("none")).alias("worker")).agg(
+        F.count_if(ended).alias("ok"), F.count_if(status == "failed").alias("failed"), F.round(F.sum(F.when(ended, seconds)), 3).alias("seconds"), F.count(F.when(ended, seconds)).alias("timed"), F.sum(F.when(ended, F.col("files_processed"))).alias("files")
+    )
+
+
+def dataset_growth(files: DataFrame) -> DataFrame:
+    """Files and bytes by day of processing and their running totals; rows without a time are day NULL and come first."""
+    day = files.groupBy(F.col("processed_at").cast("date").alias("day")).agg(F.count("*").alias("files"), F.sum("size").alias("bytes"))
+    w = Window.orderBy(F.asc_nulls_first("day")).rowsBetween(Window.unboundedPreceding, 0)  # a row a day
+    return day.select("day", "files", "bytes", F.sum("files").over(w).alias("total_files"), F.sum("bytes").over(w).alias("total_bytes"))
+
+
+MODELS = 10_000
+
+
+def cursor_batches(files: DataFrame, state: DataFrame) -> DataFrame:
+    """(model_name, new_files, cursor, best) of the files beyond each model's `last_trained_id`; models without any have no row.
+
+    The cursors, a row a model, are read first (more than MODELS are refused). The range of ids is taken from the least one on, so the scan
+    prunes by it; ids fall between neighbouring cursors, each interval is aggregated once, and a model adds up its intervals.
+    """
+    cursors = state.where("last_trained_id IS NOT NULL").select("model_name", "last_trained_id").limit(MODELS + 1).collect()
+    if len(cursors) > MODELS:
+        raise ValueError(f"more than {MODELS} models")
+    spark, steps = files.sparkSession, sorted({r.last_trained_id for r in cursors})
+    kind = "model_name string, new_files long, cursor long, best int"
+    if not steps:
+        return spark.createDataFrame([], kind)
+    at = F.lit(0)
+    for k, c in enumerate(steps):
+        at = F.when(F.col("id") > c, k).otherwise(at)
+    if len(steps) > 50:  # a long chain of comparisons is a search in an array instead
+        at = F.size(F.filter(F.array(*map(F.lit, steps)), lambda c: c < F.col("id"))) - 1
+    by = files.where(F.col("id") > steps[0]).groupBy(at.alias("step")).agg(F.count("*").alias("n"), F.max("id").cast("long").alias("last"), F.max("quality_score").alias("best"))
+    models = spark.createDataFrame([(r.model_name, steps.index(r.last_trained_id), s) for r in cursors for s in range(steps.index(r.last_trained_id), len(steps))], "model_name string, own int, step int")
+    return by.join(models, "step").groupBy("model_name").agg(F.sum("n").alias("new_files"), F.max("last").alias("cursor"), F.max("best").alias("best"))

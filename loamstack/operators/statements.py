@@ -15,6 +15,17 @@ COUNT_NEW_FILES = """
 SELECT count(*) AS n FROM {processed_files}
 WHERE id > :after AND quality_score >= :min_score AND length(content) BETWEEN :min_chars AND :max_chars"""
 
+# the rows that the insert adds: the first of each hash that the table does not hold yet
+INSERT_FILE = """
+SELECT i.* EXCEPT (nth) FROM (SELECT *, row_number() OVER (PARTITION BY hash ORDER BY id) AS nth FROM {incoming}) i
+LEFT ANTI JOIN {processed_files} p ON i.hash = p.hash WHERE i.nth = 1 OR i.hash IS NULL"""
+
+# the updated columns of every row after the update
+UPDATE_REPO_STATUS = """
+SELECT id, CASE WHEN id = :id THEN :status ELSE download_status END AS download_status,
+CASE WHEN id = :id THEN CAST(:at AS TIMESTAMP_NTZ) ELSE downloaded_at END AS downloaded_at,
+CASE WHEN id = :id THEN :path ELSE local_path END AS local_path FROM {repositories}"""
+
 
 class Statements:
     """Statements by name. Tables are given as DataFrames in `{braces}`, values as `:name` markers."""
@@ -43,4 +54,6 @@ def common(spark: SparkSession) -> Statements:
     s = Statements(spark)
     s.prepare("fetch_new_files", FETCH_NEW_FILES)
     s.prepare("count_new_files", COUNT_NEW_FILES)
+    s.prepare("insert_file", INSERT_FILE)
+    s.prepare("update_repo_status", UPDATE_REPO_STATUS)
     return s

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loamstack.functions import retry
 from loamstack.functions import scalars as S
 from loamstack.operators import logs, mutate, rollups, statements
 from loamstack.operators import timeseries as ts
@@ -57,15 +58,16 @@ def count_new_files(spark, d):
     return statements.common(spark).run("count_new_files", {_FILES: table(spark, d, _FILES)}, ARGS)
 
 
-@query(
+_CURSOR_SQL = (
     "WITH t AS (SELECT model_name, last_trained_id FROM training_state), r AS (SELECT t.model_name, f.id, f.quality_score FROM t JOIN processed_files f ON f.id > t.last_trained_id WHERE f.quality_score >= 70) "
     "SELECT model_name, count(*) AS new_files, CAST(max(id) AS BIGINT) AS cursor, max(quality_score) AS best FROM r GROUP BY model_name"
 )
+
+
+@query(_CURSOR_SQL)
 def cursor_batch(spark, d):
-    """New files of each model beyond its cursor; models are a fixed handful, so their table is broadcast by size."""
-    t = table(spark, d, "training_state").select("model_name", "last_trained_id")
-    f = table(spark, d, _FILES).where("quality_score >= 70").select("id", "quality_score")
-    return f.join(t, f.id > t.last_trained_id).groupBy("model_name").agg(F.count("*").alias("new_files"), F.max("id").cast("long").alias("cursor"), F.max("quality_score").alias("best"))
+    """New files of each model beyond its cursor: one scan from the least cursor on, one aggregate for all models, no join."""
+    return rollups.cursor_batches(table(spark, d, _FILES).where("quality_score >= 70"), table(spark, d, "training_state"))
 
 
 @query("SELECT id, repo_name, quality_score FROM processed_files ORDER BY quality_score DESC NULLS LAST, id LIMIT 100")
@@ -73,6 +75,15 @@ def topk_by_score(spark, d):
     return table(spark, d, _FILES).orderBy(F.desc_nulls_last("quality_score"), "id").limit(100).select("id", "repo_name", "quality_score")
 
 
+@query(
+    "SELECT doc_id, CAST(len(list_filter(string_split_regex(lower(text), '[^\\pL\\pN_]+'), lambda x: x IN ('cache', 'retry'))) AS INTEGER) AS hits FROM documents "
+    "WHERE len(list_filter(string_split_regex(lower(text), '[^\\pL\\pN_]+'), lambda x: x IN ('cache', 'retry'))) > 0 ORDER BY hits DESC, doc_id LIMIT 25"
+)
+def search_documents(spark, d):
+    """Documents in which two words occur most often."""
+    return logs.search(table(spark, d, "documents").select("doc_id", "text"), "text", ["cache", "retry"], 25, "doc_id").select("doc_id", F.col("hits").cast("int").alias("hits"))
+
+
 # --- derived columns ---------------------------------------------------------------------------------------------------
 
 
@@ -166,6 +177,53 @@ def unique_violations(spark, d):
     return out
 
 
+@query(
+    "WITH old AS (SELECT hash FROM processed_files WHERE id <= 100) SELECT id, hash, repo_name FROM processed_files f WHERE id > 100 AND NOT EXISTS (SELECT 1 FROM old WHERE old.hash = f.hash) "
+    "QUALIFY row_number() OVER (PARTITION BY hash ORDER BY id) = 1"
+)
+def insert_file(spark, d):
+    """The prepared insert: rows that a second delivery adds to the first hundred."""
+    f = table(spark, d, _FILES).select("id", "hash", "repo_name")
+    return statements.common(spark).run("insert_file", {"incoming": f.where("id > 100"), _FILES: f.where("id <= 100")}, {})
+
+
+@query(
+    "SELECT id, CASE WHEN id = 3 THEN 'downloaded' ELSE download_status END AS download_status, CASE WHEN id = 3 THEN TIMESTAMP '2024-03-02 00:00:00' ELSE downloaded_at END AS downloaded_at, CASE WHEN id = 3 THEN '/data/new' ELSE local_path END AS local_path FROM repositories"
+)
+def update_repo_status(spark, d):
+    """The prepared update of one repository."""
+    return statements.common(spark).run("update_repo_status", {"repositories": table(spark, d, "repositories")}, {"id": 3, "status": "downloaded", "at": "2024-03-02 00:00:00", "path": "/data/new"})
+
+
+@query(
+    "SELECT model_name, last_trained_id, total_training_runs FROM training_state UNION ALL SELECT n, 0, 0 FROM (VALUES ('quill-coder-3b'), ('a-new-model')) v(n) WHERE n NOT IN (SELECT model_name FROM training_state)"
+)
+def seed_models(spark, d):
+    """Model rows after seeding two names, one of which is there already."""
+    t = table(spark, d, "training_state").select("model_name", "last_trained_id", "total_training_runs")
+    seed = spark.createDataFrame([("quill-coder-3b", 0, 0), ("a-new-model", 0, 0)], "model_name string, last_trained_id long, total_training_runs int")
+    return t.unionByName(mutate.insert_ignore(t, seed, ["model_name"], ["model_name"]))
+
+
+def _touched_sql() -> str:
+    one = (
+        "SELECT '{t}' AS table_name, CAST(count(*) FILTER ({c}) AS BIGINT) AS changed, CAST(count(*) AS BIGINT) AS rows FROM {t}",
+        (("processing_jobs", "status = 'pending'"), ("repositories", "forks > 50"), ("training_state", "total_training_runs > 5")),
+    )
+    return " UNION ALL ".join(one[0].format(t=t, c=c) for t, c in one[1])
+
+
+@query(_touched_sql())
+def updated_at_triggers(spark, d):
+    """Rows of the three tables with a trigger whose stamp an update has set."""
+    out = []
+    for t, change in (("processing_jobs", ("status", F.when(F.col("status") == "pending", "queued").otherwise(F.col("status")))), ("repositories", ("forks", F.when(F.col("forks") > 50, F.col("forks") + 1).otherwise(F.col("forks")))), ("training_state", ("total_training_runs", F.when(F.col("total_training_runs") > 5, 0).otherwise(F.col("total_training_runs"))))):
+        before = table(spark, d, t)
+        after = mutate.touch(before, before.withColumn(*change), "id", F.expr("TIMESTAMP_NTZ '2030-01-01 00:00:00'"))
+        out.append(after.agg(F.lit(t).alias("table_name"), F.count_if(F.col("updated_at") == F.expr("TIMESTAMP_NTZ '2030-01-01 00:00:00'")).alias("changed"), F.count("*").alias("rows")))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 # --- reports -----------------------------------------------------------------------------------------------------------
 
 
@@ -230,6 +288,44 @@ def training_totals(spark, d):
     return rollups.training_totals(table(spark, d, "training_state"))
 
 
+@query("SELECT count(*) FILTER (quality_score >= 50) AS passed, count(*) FILTER (quality_score < 50 OR quality_score IS NULL) AS filtered, count(quality_score) AS scores, min(quality_score) AS least, max(quality_score) AS most FROM repositories")
+def quality_observations(spark, d):
+    return rollups.quality_observations(table(spark, d, "repositories"), 50)
+
+
+@query(
+    "SELECT coalesce(worker_id, 'none') AS worker, count(*) FILTER (lower(trim(status)) = 'completed') AS ok, count(*) FILTER (lower(trim(status)) = 'failed') AS failed, round(sum(epoch(completed_at - started_at)) FILTER (lower(trim(status)) = 'completed'), 3) AS seconds, "
+    "count(completed_at - started_at) FILTER (lower(trim(status)) = 'completed') AS timed, CAST(sum(files_processed) FILTER (lower(trim(status)) = 'completed') AS BIGINT) AS files FROM processing_jobs GROUP BY 1"
+)
+def download_observations(spark, d):
+    return rollups.download_observations(table(spark, d, "processing_jobs"))
+
+
+@query(
+    "WITH g AS (SELECT CAST(processed_at AS DATE) AS day, count(*) AS files, CAST(sum(size) AS BIGINT) AS bytes FROM processed_files GROUP BY 1) "
+    "SELECT day, files, bytes, CAST(sum(files) OVER w AS BIGINT) AS total_files, CAST(sum(bytes) OVER w AS BIGINT) AS total_bytes FROM g WINDOW w AS (ORDER BY day NULLS FIRST ROWS UNBOUNDED PRECEDING)"
+)
+def dataset_growth(spark, d):
+    return rollups.dataset_growth(table(spark, d, _FILES))
+
+
+_ERROR_SQL = "CASE WHEN regexp_matches(error_msg, '(?i)timeout') THEN 'network' WHEN regexp_matches(error_msg, '(?i)rate') THEN 'rate_limit' WHEN regexp_matches(error_msg, '(?i)clone') THEN 'transient' ELSE 'permanent' END"
+
+
+@query(f"SELECT {_ERROR_SQL} AS kind, CAST({_ERROR_SQL} IN ('transient', 'network', 'rate_limit') AS BOOLEAN) AS again, count(*) AS jobs FROM processing_jobs WHERE error_msg IS NOT NULL GROUP BY 1, 2")
+def retryable_jobs(spark, d):
+    """Failed jobs by kind of error and whether another attempt is worth it. The kinds' patterns are ours."""
+    kind = logs.classify(F.col("error_msg"), [("timeout", "network"), ("rate", "rate_limit"), ("clone", "transient")], "permanent")
+    j = table(spark, d, "processing_jobs").where("error_msg IS NOT NULL").select(kind.alias("kind"))
+    return j.groupBy("kind", retry.is_retryable(F.col("kind"), F.lit(True)).alias("again")).agg(F.count("*").alias("jobs"))
+
+
+@query("SELECT CAST(a.range AS INTEGER) AS attempt, u.range / 4.0 AS u, round(least(1.0 * pow(2.0, a.range), 30.0) * (1 + 0.1 * (0.5 - u.range / 4.0)), 6) AS seconds FROM range(0, 7) a, range(0, 4) u")
+def backoff_with_jitter(spark, d):
+    r = spark.range(28).select((F.col("id") % 7).cast("int").alias("attempt"), (F.floor(F.col("id") / 7) / 4.0).alias("u"))
+    return r.select("attempt", "u", F.round(retry.delay_column(F.col("attempt"), F.col("u")), 6).alias("seconds"))
+
+
 _EXPORT_SQL = (
     "WITH good AS (SELECT * FROM processed_files WHERE quality_score >= 70 AND length(content) BETWEEN 50 AND 5000), first AS (SELECT * FROM good QUALIFY row_number() OVER (PARTITION BY sha256(content) ORDER BY id) = 1), "
     "e AS (SELECT id, lower(trim(language)) AS language, repo_name, content, quality_score, sha256(content) AS hash FROM first ORDER BY quality_score DESC, id LIMIT 100000) "
@@ -311,9 +407,56 @@ def alert_for_duration(spark, d):
     return ts.firing(p, (F.col("name") == "queue_depth") & (F.col("value") > 50), 60, ["name", "series"])
 
 
-@query(_alert_sql("name = 'up' AND value = 0", 0))
-def alert_down(spark, d):
-    return ts.firing(ts.grid(_samples(spark, d)), (F.col("name") == "up") & (F.col("value") == 0), 0, ["name", "series"])
+# the six rules, each over the metric of these tables that stands for its own
+RULES = (
+    ts.Rule("high_error_rate", "errors_total", ">", 10, 300, rate=True),
+    ts.Rule("training_stuck", "last_training_timestamp", ">", 3600, 600, age=True),
+    ts.Rule("high_connections", "queue_depth", ">", 50, 300),
+    ts.Rule("high_gpu_memory", "gpu_memory_used", ">", 0.9, 600, divisor="queue_depth"),
+    ts.Rule("low_disk_space", "gpu_memory_used", "<", 0.1, 300, divisor="queue_depth", labels={"mountpoint": "/"}),
+    ts.Rule("service_down", "up", "==", 0, 120),
+)
+
+
+def _rule_sql(r: ts.Rule) -> str:
+    names = ", ".join(f"'{n}'" for n in (r.metric, r.divisor) if n)
+    label = "".join(f" AND labels['{k}'] = '{v}'" for k, v in r.labels.items())
+    s = f"WITH s AS (SELECT DISTINCT ts, kind, name, {_SERIES_SQL} AS series, value FROM metric_samples WHERE name IN ({names}){label})"
+    if r.rate:
+        s += _INC_SQL + ", v0 AS (SELECT ts, name, series, rate AS value FROM r)"
+    else:
+        s += ", v0 AS (SELECT ts, name, series, value FROM s WHERE value IS NOT NULL)"
+    s += ", q AS (SELECT name, series, CAST(floor(epoch(ts) / 30) AS BIGINT) + 1 AS k, value FROM v0 QUALIFY row_number() OVER (PARTITION BY name, series, k ORDER BY ts DESC, value DESC) = 1)"
+    s += ", l AS (SELECT *, least(coalesce(lead(k) OVER (PARTITION BY name, series ORDER BY k) - k, 10), 10) AS n FROM q), e AS (SELECT name, series, (k + unnest(range(n))) * 30 AS at_, value FROM l)"
+    if r.divisor:
+        s += f", v AS (SELECT a.series, a.at_, CASE WHEN b.value <> 0 THEN a.value / b.value END AS value FROM e a JOIN e b ON a.series = b.series AND a.at_ = b.at_ WHERE a.name = '{r.metric}' AND b.name = '{r.divisor}')"
+    else:
+        s += f", v AS (SELECT series, at_, {'at_ - value' if r.age else 'value'} AS value FROM e)"
+    op = "=" if r.op == "==" else r.op
+    s += f", m AS (SELECT *, at_ - 30 * row_number() OVER (PARTITION BY series ORDER BY at_) AS island FROM v WHERE value {op} {r.bound}), f AS (SELECT *, min(at_) OVER (PARTITION BY series, island) AS since FROM m)"
+    return s + f" SELECT '{r.alert}' AS alert, series, at_ AS at, since, round(value, 6) AS value FROM f WHERE at_ - since >= {r.hold}"
+
+
+def _add_rule(r: ts.Rule) -> None:
+    def run(spark, d):
+        return ts.evaluate(table(spark, d, "metric_samples"), r)
+
+    run.__name__ = f"alert_{r.alert}"
+    run.__doc__ = f"Steps at which {r.alert} fires."
+    query(_rule_sql(r))(run)
+
+
+for _r in RULES:
+    _add_rule(_r)
+# the same over these tables' own ranges, where the rule's bounds are rarely met
+_add_rule(ts.Rule("some_errors", "errors_total", ">", 0.05, 60, rate=True))
+_add_rule(ts.Rule("root_ratio", "gpu_memory_used", "<", 5, 60, divisor="queue_depth", labels={"mountpoint": "/"}))
+
+
+@query(_SAMPLES_SQL + " SELECT name, series, max(ts) AS last_ts FROM s WHERE name = 'up' GROUP BY ALL HAVING epoch(TIMESTAMP '2024-03-01 12:45:00' - max(ts)) > 3600")
+def alert_silent(spark, d):
+    """Series of `up` from which nothing has come for an hour."""
+    return ts.silent(_samples(spark, d), "up", 3600, F.expr("TIMESTAMP_NTZ '2024-03-01 12:45:00'"))
 
 
 @query(
@@ -354,4 +497,4 @@ def classify_log_lines(spark, d):
 @query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
 def tumbling_counts(spark, d):
     """Batch twin of the windowed stream (an extra)."""
-    return table(spark, d, "events").groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("start"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    return table(spark, d, "events").groupBy(S.time_bucket(F.col("ts"), 3600).alias("start"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))

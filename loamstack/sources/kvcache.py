@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def put(cache: DataFrame, entries: DataFrame, as_of: Column, ttl_seconds: int = 3600) -> DataFrame:
-    """`cache(key, value, expires_at)` with `entries(key, doc struct)` set; a repeated key keeps the largest document."""
-    new = entries.select("key", F.to_json("doc").alias("value")).groupBy("key").agg(F.max("value").alias("value"))
+def put(cache: DataFrame, entries: DataFrame, as_of: Column, ttl_seconds: int = 3600, order: str | None = None) -> DataFrame:
+    """`cache(key, value, expires_at)` with `entries(key, doc struct)` set. Of a repeated key the last write in `order`, a column of
+    `entries`, is kept; without one the keys must differ, else which of them is last is open."""
+    last = F.col(order) if order else F.lit(0)
+    new = entries.select("key", F.to_json("doc").alias("value"), last.alias("_o")).groupBy("key").agg(F.max_by("value", "_o").alias("value"))
     new = new.withColumn("expires_at", as_of + F.make_dt_interval(secs=F.lit(ttl_seconds)))
     return cache.join(new, "key", "left_anti").unionByName(new)
 

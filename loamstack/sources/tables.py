@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,10 +20,19 @@ def jdbc_table(spark: SparkSession, url: str, name: str, lower: int, upper: int,
     )
 
 
+def jdbc_options(prefix: str = "DB") -> dict[str, str]:
+    """url, user and password from the environment: `<prefix>_URL`, or `<prefix>_HOST`, `_PORT` and `_NAME`; a password may stand in the
+    file that `<prefix>_PASSWORD_FILE` names. An empty value counts as none."""
+    get = lambda k, d="": os.environ.get(f"{prefix}_{k}") or d
+    out = {"url": get("URL") or f"jdbc:postgresql://{get('HOST', 'localhost')}:{get('PORT', '5432')}/{get('NAME', 'postgres')}"}
+    secret = get("PASSWORD") or (open(get("PASSWORD_FILE")).read().strip() if get("PASSWORD_FILE") else "")
+    return out | {k: v for k, v in (("user", get("USER")), ("password", secret)) if v}
+
+
 def file_tree(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """Every file under `root` with path, size and text; undecodable bytes become U+FFFD."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
-    return raw.select(F.col("path").alias("file_path"), F.col("length").alias("size"), F.col("modificationTime").alias("processed_at"), F.decode("content", F.lit("UTF-8")).alias("content"))
+    return raw.select(F.col("path").alias("file_path"), F.col("length").alias("size"), F.col("modificationTime").alias("processed_at"), F.make_valid_utf8(F.col("content").cast("string")).alias("content"))
 
 
 def gpu_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -34,6 +45,11 @@ def curve_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("step long, loss double").csv(path, header=True)
 
 
+def write_curve(df: DataFrame, path: str) -> None:
+    """A training curve (step, loss) as one CSV file with a header, in order of steps."""
+    df.select("step", "loss").coalesce(1).sortWithinPartitions("step").write.mode("overwrite").csv(path, header=True)
+
+
 def log_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of text files with the file they are from; order within a file is that of the scan."""
     return spark.read.text(path).select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("line"))

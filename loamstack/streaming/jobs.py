@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -16,22 +18,36 @@ def file_stream(spark: SparkSession, folder: str, schema, max_files: int = 100)
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(folder)
 
 
-def cursor_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, spill: str, min_new: int = 1000) -> DataStreamWriter:
+def _trigger(every: str | None) -> dict:
+    """Of a stream: at an interval such as `30 seconds`, or once over all there is."""
+    return {"processingTime": every} if every else {"availableNow": True}
+
+
+def cursor_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, spill: str, min_new: int = 1000, every: str | None = None) -> DataStreamWriter:
     """Hand over new rows once at least `min_new` have gathered; until then they wait in the folder `spill`.
 
-    Progress is the stream's own checkpoint, so no row is lost or read twice by score-ordered reading.
+    Each epoch's rows are written under its number, and each hand-over takes all epochs that none before it took, up to its own;
+    its number is written to `spill`/handed after `handle` returns. After a failure an epoch is written again over itself, an epoch
+    handed over is not handed over again, and one whose `handle` did not return is repeated with the same number and the same rows, so
+    a `handle` that writes by number has every row once. `every`: polling interval; None takes what there is and ends.
     """
 
     def each(df: DataFrame, epoch: int) -> None:
-        df.write.mode("overwrite").parquet(f"{spill}/epoch={epoch}")
         spark = df.sparkSession
-        waiting = spark.read.parquet(spill)
+        try:
+            done = spark.read.schema("upto long").json(f"{spill}/handed").agg(F.max("upto")).first()[0]
+        except AnalysisException:
+            done = None
+        done = -1 if done is None else done
+        if epoch <= done:
+            return
+        df.write.mode("overwrite").parquet(f"{spill}/rows/epoch={epoch}")
+        waiting = spark.read.parquet(f"{spill}/rows").where((F.col("epoch") > done) & (F.col("epoch") <= epoch))
         if waiting.count() >= min_new:
             handle(waiting.drop("epoch"), epoch)
-            fs = spark._jvm.org.apache.hadoop.fs.Path(spill).getFileSystem(spark._jsc.hadoopConfiguration())
-            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(spill), True)
+            spark.range(1).select(F.lit(epoch).cast("long").alias("upto")).coalesce(1).write.mode("append").json(f"{spill}/handed")
 
-    return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**_trigger(every))
 
 
 def windowed_counts(stream: DataFrame, ts: str, key: str, late: str = "10 minutes", size: str = "5 minutes", step: str | None = None) -> DataFrame:
@@ -41,20 +57,35 @@ def windowed_counts(stream: DataFrame, ts: str, key: str, late: str = "10 minute
     return s.groupBy(w.alias("w"), F.col(key)).agg(F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("total")).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), key, "n", "total")
 
 
-def alert_states(stream: DataFrame, threshold: float, hold_seconds: int) -> DataFrame:
+def alert_states(stream: DataFrame, threshold: float, hold_seconds: int, silent_seconds: int | None = None) -> DataFrame:
     """Alerts (name, series, at, state) of a stream (ts, name, series, value): pending while value > threshold, firing once it
-    has been so for `hold_seconds`, inactive after. Rows within a batch are taken in time order; NULL values are skipped."""
+    has been so for `hold_seconds`, inactive after. Rows within a batch are taken in time order; NULL values are skipped. With
+    `silent_seconds` a series without rows for so long (of processing time) is reported as `silent` and forgotten."""
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if silent_seconds else GroupStateTimeout.NoTimeout
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        columns = ["name", "series", "at", "state"]
+        if state.hasTimedOut:
+            state.remove()
+            yield pd.DataFrame([(key[0], key[1], pd.Timestamp.now("UTC").tz_localize(None), "silent")], columns=columns)
+            return
         since = state.get[0] if state.exists else -1
-        rows = pd.concat(list(parts)).dropna(subset=["value", "ts"]).sort_values(["ts", "value"])
+        ts, values = [], []
+        for p in parts:
+            p = p.dropna(subset=["value", "ts"])
+            ts.append(p["ts"].to_numpy())
+            values.append(p["value"].to_numpy())
+        at, v = np.concatenate(ts), np.concatenate(values)
         out = []
-        for ts, value in zip(rows["ts"], rows["value"]):
-            at = int(ts.timestamp())
-            since = (at if since < 0 else since) if value > threshold else -1
-            out.append((key[0], key[1], ts, "inactive" if since < 0 else "firing" if at - since >= hold_seconds else "pending"))
+        for k in np.lexsort((v, at)):
+            t = pd.Timestamp(at[k])
+            second = int(t.timestamp())
+            since = (second if since < 0 else since) if v[k] > threshold else -1
+            out.append((key[0], key[1], t, "inactive" if since < 0 else "firing" if second - since >= hold_seconds else "pending"))
         state.update((since,))
-        yield pd.DataFrame(out, columns=["name", "series", "at", "state"])
+        if silent_seconds:
+            state.setTimeoutDuration(silent_seconds * 1000)
+        yield pd.DataFrame(out, columns=columns)
 
     typed = stream.select("name", "series", F.col("ts").cast("timestamp").alias("ts"), "value")
-    return typed.groupBy("name", "series").applyInPandasWithState(step, "name string, series string, at timestamp, state string", "since long", "append", GroupStateTimeout.NoTimeout)
+    return typed.groupBy("name", "series").applyInPandasWithState(step, "name string, series string, at timestamp, state string", "since long", "append", timeout)
