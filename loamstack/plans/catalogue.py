@@ -450,7 +450,7 @@ for _r in RULES:
     _add_rule(_r)
 # the same over these tables' own ranges, where the rule's bounds are rarely met
 _add_rule(ts.Rule("some_errors", "errors_total", ">", 0.05, 60, rate=True))
-_add_rule(ts.Rule("root_ratio", "gpu_memory_used", "<", 5, 60, divisor="queue_depth", labels={"mountpoint": "/"}))
+_add_rule(ts.Rule("root_ratio", "gpu_memory_used", "<", 50, 0, divisor="queue_depth", labels={"mountpoint": "/"}))
 
 
 @query(_SAMPLES_SQL + " SELECT name, series, max(ts) AS last_ts FROM s WHERE name = 'up' GROUP BY ALL HAVING epoch(TIMESTAMP '2024-03-01 12:45:00' - max(ts)) > 3600")
