@@ -133,6 +133,14 @@ def marks_column(path: Column, text: Column, language: Column) -> Column:
     return F.pandas_udf(run, "origin string, weak boolean")(path, text, language)
 
 
+BROADCAST_ROWS = 500_000
+
+
+def _bounded(df: DataFrame) -> DataFrame:
+    """A table of one number a row, broadcast only if a count finds at most BROADCAST_ROWS (some 8 MB); else the join shuffles."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def _first_two(df: DataFrame, key: str) -> DataFrame:
     """One row for each `key`: `b1` its (id, repo, shared) of the least id and `b2` the least of a repository other than b1's."""
     rows = df.groupBy(key, "repo").agg(F.min(F.struct("id", "shared")).alias("b"))
@@ -156,16 +164,16 @@ def line_copies(df: DataFrame, repo: Column, identifier: str = "id", text: str =
     if only is None:
         sets = cut(sets)
         wanted = sets.select("k").distinct()
-    else:  # of all other files, only the lines that a file asked for has
-        mine = cut(sets.join(only.select(F.col(identifier).alias("id")), "id", "left_semi"))
+        members = sets.select("k", "id", "repo", F.size("lines").alias("shared"))
+        flat = cut(sets.groupBy("k").agg(F.first("lines").alias("lines")).select("k", F.size("lines").alias("m"), F.explode("lines").alias("line")))
+    else:  # of all files, only the lines that a file asked for has
+        mine = cut(sets.join(_bounded(only.select(F.col(identifier).alias("id"))), "id", "left_semi"))
         wanted = mine.select("k").distinct()
-        asked_lines = cut(mine.select(F.explode("lines").alias("line")).distinct())
-    members = sets.select("k", "id", "repo", F.size("lines").alias("shared"))
-    flat = sets.groupBy("k").agg(F.first("lines").alias("lines")).select("k", F.size("lines").alias("m"), F.explode("lines").alias("line"))
-    if only is not None:
-        flat = flat.join(asked_lines, "line", "left_semi").select("k", "m", "line")
-        members = members.join(flat.select("k").distinct(), "k", "left_semi")
-    flat, members = cut(flat), members if only is None else cut(members)
+        lines_asked = _bounded(cut(mine.select(F.explode("lines").alias("line")).distinct()))
+        hits = sets.select("k", "id", "repo", F.size("lines").alias("m"), F.explode("lines").alias("line")).join(lines_asked, "line", "left_semi")
+        hits = cut(hits.groupBy("k", "id", "repo", "m").agg(F.collect_list("line").alias("lines")))
+        members = hits.select("k", "id", "repo", F.col("m").alias("shared"))
+        flat = cut(hits.groupBy("k", "m").agg(F.first("lines").alias("lines")).select("k", "m", F.explode("lines").alias("line")))
     entries = cut(_first_two(members, "k"))
     common = cut(flat.join(flat.groupBy("line").agg(F.count("*").alias("df")).where("df >= 2"), "line"))
     # containment is rounded to four places
