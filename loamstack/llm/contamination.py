@@ -1,7 +1,7 @@
 """Evaluation passages in training texts: rare n-gram seeds find candidates, Smith-Waterman alignment scores them.
 
 Texts are compared as words (runs of letters and digits of the visual form, without letter case), each word a 64-bit hash.
-1. Every n-gram of every item goes into a bitmap of fixed size; documents are scanned once and those with a hit are kept
+1. Every n-gram of every item goes into a bitmap, sized by their number; documents are scanned once and those with a hit are kept
    with their word hashes and hits.
 2. For edited copies every n-gram of an item is a seed, as an edit takes away the rarest ones. For whole runs alone, of each
    window of `run` words the n-gram rarest in the corpus is the seed, so each run of that length holds at least one.
@@ -24,9 +24,9 @@ from loamstack.llm.lookalike import transducer
 
 WORD = re.compile(r"[^\W_]+")
 NGRAM = 5
-BITS = 23
+LEAST_BITS, MOST_BITS = 16, 29  # as powers of two: up to 64 MB
 MIX = np.uint64(0x9E3779B97F4A7C15)
-BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 16 << 20
 
 
 def word_hashes(text: str) -> np.ndarray:
@@ -47,8 +47,8 @@ def ngram_hashes(words: np.ndarray, n: int = NGRAM) -> np.ndarray:
     return h
 
 
-def _slot(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(64 - BITS)).astype(np.int64)
+def _slot(h: np.ndarray, power: int) -> np.ndarray:
+    return (h >> np.uint64(64 - power)).astype(np.int64)
 
 
 def align(a: np.ndarray, b: np.ndarray, match: int = 2, mismatch: int = 1, gap: int = 1) -> tuple[int, int]:
@@ -115,24 +115,30 @@ def _item_seeds(items: DataFrame, n: int) -> DataFrame:
     return items.where("passage IS NOT NULL").mapInPandas(scan, f"item_id {kind}, pos int, seed long, words array<long>")
 
 
-def _bitmap(seeds: DataFrame) -> np.ndarray:
-    """All seeds in 2^BITS bits; each of a few tasks sends one map of that fixed size."""
+def _bitmap(seeds: DataFrame) -> tuple[np.ndarray, int]:
+    """All seeds as bits, 32 or more a seed so that a n-gram of no item rarely passes; beyond 2^MOST_BITS bits they only get fuller.
+
+    Each of a few tasks sends one map.
+    """
+    power = min(MOST_BITS, max(LEAST_BITS, (32 * seeds.count()).bit_length()))
 
     def fill(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = np.zeros(1 << BITS, bool)
+        bits = np.zeros(1 << (power - 3), np.uint8)
         for p in parts:
-            bits[_slot(p["seed"].to_numpy().view(np.uint64))] = True
-        yield pd.DataFrame({"bits": [np.packbits(bits).tobytes()]})
+            s = _slot(p["seed"].to_numpy().view(np.uint64), power)
+            np.bitwise_or.at(bits, s >> 3, (128 >> (s & 7)).astype(np.uint8))
+        yield pd.DataFrame({"bits": [bits.tobytes()]})
 
-    out = np.zeros(1 << (BITS - 3), np.uint8)
+    out = np.zeros(1 << (power - 3), np.uint8)
     for r in seeds.select("seed").coalesce(4).mapInPandas(fill, "bits binary").toLocalIterator():
         out |= np.frombuffer(r.bits, np.uint8)
-    return out
+    return out, power
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast only after a count: beyond the bound the join shuffles."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+def _small(df: DataFrame, size) -> DataFrame:
+    """Broadcast only after its bytes are counted (`size`: those of a row); beyond the bound the join shuffles."""
+    total = df.agg(F.coalesce(F.sum(size), F.lit(0)).alias("b")).first().b
+    return F.broadcast(df) if total <= BROADCAST_BYTES else df
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, run: int = 13, n: int = NGRAM, identifier: str = "doc_id", text: str = "text", edited: bool = True) -> DataFrame:
@@ -144,11 +150,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, run: int = 13, n: int = NGRAM,
     """
     spark = docs.sparkSession
     seeds = cut(_item_seeds(items.select("item_id", "passage"), n))
-    bits = spark.sparkContext.broadcast(_bitmap(seeds))
+    bits = spark.sparkContext.broadcast(_bitmap(seeds))  # 64 MB at most
     kind = docs.schema[identifier].dataType.simpleString()
 
     def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        there = bits.value
+        there, power = bits.value
         for p in parts:
             ids, words, hits = [], [], []
             for i, t in zip(p["id"], p["t"]):
@@ -156,7 +162,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, run: int = 13, n: int = NGRAM,
                 if len(w) < run:
                     continue
                 g = ngram_hashes(w, n)
-                s = _slot(g)
+                s = _slot(g, power)
                 hit = g[(there[s >> 3] >> (7 - (s & 7)).astype(np.uint8)) & 1 == 1]
                 if len(hit):
                     ids.append(i)
@@ -177,10 +183,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, run: int = 13, n: int = NGRAM,
         span = run - n
         w = Window.partitionBy("item_id").orderBy("pos").rowsBetween(0, span)
         chosen = counted.withColumn("best", F.min(F.struct("df", "pos", "seed")).over(w)).withColumn("full", F.count("*").over(w) == span + 1).where("full AND best.df > 0").select("item_id", F.col("best.seed").alias("seed")).distinct()
-    chosen = _small(cut(chosen))
+    chosen = _small(cut(chosen), F.lit(32))
     pairs = flat.join(chosen, "seed").select("id", "item_id").distinct()
     whole = seeds.where("pos = 0").select("item_id", F.col("words").alias("item_words"))
-    todo = pairs.join(hit_docs.select("id", "words").dropDuplicates(["id", "words"]), "id").join(_small(whole), "item_id")
+    todo = pairs.join(hit_docs.select("id", "words").dropDuplicates(["id", "words"]), "id").join(_small(whole, 16 + 8 * F.size("item_words")), "item_id")
 
     def score(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:

@@ -8,6 +8,7 @@ raised digits and the make-up of emoji stay.
 
 from __future__ import annotations
 
+import functools
 import re
 import sys
 import unicodedata
@@ -40,7 +41,7 @@ LOOKALIKES = (
     "ɡ g  ᴏ o  ᴠ v  ᴡ w  ᴢ z "
 ).replace("Һ h ", "").split()
 
-_EMOJI = "\U0001f000-\U0001faff←-⇿⌀-⏿①-➿⤀-⥿⬀-⯿〰〽㊗㊙©®"
+EMOJI_RANGES = "\U0001f000-\U0001faff←-⇿⌀-⏿①-➿⤀-⥿⬀-⯿〰〽㊗㊙©®"
 _JOINED = ("<initial>", "<medial>", "<final>", "<isolated>")
 _WIDTH = ("<wide>", "<narrow>")
 
@@ -50,7 +51,8 @@ def _invisible(ch: str) -> bool:
     return unicodedata.category(ch) == "Cf" and not 0x600 <= o <= 0x605 and o not in (0x6DD, 0x70F, 0x8E2, 0x110BD) or 0xFE00 <= o <= 0xFE0F or 0xE0100 <= o <= 0xE01EF or o in (0x34F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x3164, 0xFFA0) or 0x180B <= o <= 0x180F
 
 
-def _tables() -> tuple[dict[int, str], list[int], list[int]]:
+@functools.cache
+def tables() -> tuple[dict[int, str], list[int], list[int]]:
     """The mapping of single characters, all marks and all invisible characters."""
     alike = dict(zip(LOOKALIKES[::2], LOOKALIKES[1::2], strict=True))
     nfc, nfd = (lambda s: unicodedata.normalize("NFC", s)), (lambda s: unicodedata.normalize("NFD", s))
@@ -124,9 +126,9 @@ class Transducer:
     """`apply(text)` gives the one form; idempotent."""
 
     def __init__(self) -> None:
-        self.table, marks, unseen = _tables()
+        self.table, marks, unseen = tables()
         self.classes: dict[str, int] = {}
-        emoji = re.compile(f"[{_EMOJI}]")
+        emoji = re.compile(f"[{EMOJI_RANGES}]")
         for o in [*range(0x203C, 0x3300), *range(0x1F000, 0x1FB00), 0xA9, 0xAE]:
             if emoji.match(chr(o)):
                 self.classes[chr(o)] = EMOJI

@@ -2,17 +2,20 @@
 
 Each scan partition is packed by itself in one pass with a fixed number of open containers. Their free spaces are the bits of one
 integer, so the best fit is the lowest bit at or above the wanted size; when too many are open the fullest closes. Containers
-still open at a partition's end are packed once more, as whole items, in small groups of partitions; so only a handful stay
-partly filled however many partitions there are. Nothing but sizes is kept, and no text is shuffled.
+still open at a partition's end are packed once more, as whole items of known size, the greatest first, by the same rule with as
+many open containers, in small groups of partitions; so only a handful stay partly filled however many partitions there are. Nothing
+but sizes is kept, and no text is shuffled. Which texts share a container follows from how the input is split: the same files and
+split size give the same containers, others give others, as full. Order the input first where that matters.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamstack.config import cut
@@ -23,24 +26,31 @@ GROUP = 32
 _ENCODINGS: dict = {}
 
 
-def encoding(folder: str = TOKENIZERS, name: str = "byte_bpe_50k"):
-    """The tokenizer of a vocabulary file, loaded once a process."""
+def vocabulary(folder: str = TOKENIZERS, name: str = "byte_bpe_50k") -> bytes:
+    """The content of a vocabulary file (below 1 MB)."""
+    with open(f"{folder}/{name}.tiktoken", "rb") as f:
+        return f.read()
+
+
+def encoding(data: bytes):
+    """The tokenizer of a vocabulary, built once a process."""
     import tiktoken
 
-    if (folder, name) not in _ENCODINGS:
-        with open(f"{folder}/{name}.tiktoken", "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    name = hashlib.sha256(data).hexdigest()
+    if name not in _ENCODINGS:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines())}
         # fixed value: the vocabulary's own way of cutting text into pieces
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-        _ENCODINGS[folder, name] = tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return _ENCODINGS[folder, name]
+        _ENCODINGS[name] = tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return _ENCODINGS[name]
 
 
-def token_count(text: Column, folder: str = TOKENIZERS, name: str = "byte_bpe_50k") -> Column:
-    """Tokens of each text; NULL stays NULL, the empty text has 0."""
+def token_count(spark: SparkSession, text: Column, folder: str = TOKENIZERS, name: str = "byte_bpe_50k") -> Column:
+    """Tokens of each text; NULL stays NULL, the empty text has 0. The vocabulary file is read on the driver and sent to the executors."""
+    data = spark.sparkContext.broadcast(vocabulary(folder, name))
 
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        e = encoding(folder, name)
+        e = encoding(data.value)
         for s in parts:
             yield pd.Series([None if t is None else len(e.encode_ordinary(t)) for t in s], dtype="Int64")
 
@@ -139,7 +149,7 @@ def pack(sizes: DataFrame, specs: DataFrame, identifier: str = "doc_id", most_op
             cap, sep = by[name]
             # of known items the greatest go first
             q = q.sort_values(["used", "container"], ascending=[False, True])
-            fit, base, target = BestFit(cap, sep, len(q) + 1), {}, {}
+            fit, base, target = BestFit(cap, sep, most_open), {}, {}
             for c, used, held in zip(q["container"], q["used"], q["position"]):
                 t, _ = fit.place(int(used))
                 target.setdefault(t, c)
@@ -155,10 +165,25 @@ def pack(sizes: DataFrame, specs: DataFrame, identifier: str = "doc_id", most_op
 
 def pack_texts(docs: DataFrame, specs: DataFrame, identifier: str = "doc_id", text: str = "text", folder: str = TOKENIZERS, most_open: int = 256) -> DataFrame:
     """`pack` for texts, sizes being tokens of a public tokenizer."""
-    sizes = docs.select(identifier, token_count(F.col(text), folder).alias("tokens"))
+    sizes = docs.select(identifier, token_count(docs.sparkSession, F.col(text), folder).alias("tokens"))
     return pack(sizes, specs, identifier, most_open)
 
 
+def violations(packed: DataFrame, sizes: DataFrame, specs: DataFrame, identifier: str = "doc_id") -> DataFrame:
+    """(spec_name, texts, over_capacity, cut_needlessly, wrong_total) of each spec: the last three are 0 where the packing keeps its rules.
+
+    Containers above their capacity (separators counted), texts in pieces that fit whole, and texts whose pieces do not add up.
+    """
+    s = specs.select("spec_name", "capacity_tokens", "separator_tokens")
+    c = packed.groupBy("spec_name", "container").agg(F.sum("tokens").alias("t"), F.count("*").alias("n")).join(s, "spec_name")
+    over = c.groupBy("spec_name").agg(F.count_if(F.col("t") + (F.col("n") - 1) * F.coalesce("separator_tokens", F.lit(0)) > F.col("capacity_tokens")).alias("over_capacity"))
+    t = packed.groupBy("spec_name", identifier).agg(F.sum("tokens").alias("placed"), F.count("*").alias("pieces"), F.countDistinct("first_token").alias("starts")).join(s, "spec_name").join(sizes.where("tokens > 0").select(identifier, F.col("tokens").alias("size")), identifier, "full")
+    of = t.groupBy("spec_name").agg(
+        F.count("*").alias("texts"), F.count_if((F.col("pieces") > 1) & (F.col("size") <= F.col("capacity_tokens"))).alias("cut_needlessly"), F.count_if(~F.col("placed").eqNullSafe(F.col("size")) | (F.col("starts") != F.col("pieces"))).alias("wrong_total")
+    )
+    return of.join(over, "spec_name", "left").select("spec_name", "texts", F.coalesce("over_capacity", F.lit(0)).alias("over_capacity"), "cut_needlessly", "wrong_total")
+
+
 def summary(packed: DataFrame, specs: DataFrame) -> DataFrame:
     """Containers used by each spec against the least number that could hold the tokens."""
     c = packed.groupBy("spec_name", "container").agg(F.sum("tokens").alias("t"), F.count("*").alias("n"))

@@ -82,7 +82,7 @@ def cap_contributors(df: DataFrame, contributor: Column, score: str, identifier:
     keys = rows.select("_who", "_salt", "_nul", "_hi", "_lo")
     digits = _digits(r)
     zero = F.lit(0).cast("long")
-    state = keys.groupBy("_who").count().where(F.col("count") > limit).select("_who", F.lit(limit).cast("long").alias("_left"), zero.alias("_pnul"), zero.alias("_phi"), zero.alias("_plo"))
+    state = keys.groupBy("_who").count().where(F.col("count") > limit).select("_who", F.lit(limit).cast("long").alias("_left"), F.col("count").alias("_n"), zero.alias("_pnul"), zero.alias("_phi"), zero.alias("_plo"))
     few = state.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS  # contributors over their allowance: counted, not guessed
     w = Window.partitionBy("_who").orderBy("_d")
     done: list[tuple[str, int]] = []
@@ -97,6 +97,7 @@ def cap_contributors(df: DataFrame, contributor: Column, score: str, identifier:
         state = at.select(
             "_who",
             (F.col("_left") - (F.col("_upto") - F.col("count"))).alias("_left"),
+            F.col("count").alias("_n"),  # after the last byte: the rows whose key is the cutoff
             *((F.col(f"_p{x}").bitwiseOR(F.shiftleft(F.col("_d").cast("long"), 8 * k)) if f"_{x}" == c else F.col(f"_p{x}")).alias(f"_p{x}") for x in ("nul", "hi", "lo")),
         )
         done.append((c, k))
@@ -110,7 +111,7 @@ def cap_contributors(df: DataFrame, contributor: Column, score: str, identifier:
         return _with_state(of, state, "left", few).withColumn("_cmp", F.when(F.col("_left").isNotNull(), cmp))
 
     on_cutoff = (F.col("_cmp") == 0) & (F.col("_left") > 0)
-    ties = mark(keys).where(on_cutoff).groupBy("_who").agg(F.count("*").alias("_n"), F.max("_left").alias("_room")).where("_n > _room").select("_who")
+    ties = state.where("_left > 0 AND _n > _left").select("_who")
     keep = F.col("_cmp").isNull() | (F.col("_cmp") < 0) | on_cutoff
     marked = mark(rows)
     if ties.isEmpty():

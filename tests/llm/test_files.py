@@ -74,6 +74,35 @@ def test_pairs_equal_brute_force(spark, monkeypatch, n, t, block):
     assert all(groups[a] == groups[b] for a, b in want) and len(groups) == len(sets)
 
 
+def test_groups_of_long_chains(spark):
+    """A chain of texts each like the next only, and a star."""
+    words = [f"c{k}" for k in range(400)]
+    rows = [(k, " ".join(words[k * 4 : k * 4 + 60])) for k in range(80)]
+    star = [f"s{k}" for k in range(60)]
+    rows += [(100 + k, " ".join(star[:58] + [f"x{k}", f"y{k}"])) for k in range(40)] + [(500, "alone in this table of texts here")]
+    groups = {r.id: (r.group_id, r.links) for r in D.NearDuplicates(spark.createDataFrame(rows, "id int, content string")).groups().collect()}
+    assert {groups[k][0] for k in range(80)} == {0} and {groups[100 + k][0] for k in range(40)} == {100} and groups[500] == (500, 0)
+    assert groups[0][1] >= 1 and groups[105][1] == 39
+
+
+def test_many_copies_are_paired_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(D, "COPIES", 4)
+    d = D.NearDuplicates(spark.createDataFrame([(k, "one two three four five six") for k in range(23)], "id int, content string"), n=3, threshold=0.7)
+    assert sorted((r.id_a, r.id_b) for r in d.pairs().collect()) == [(a, b) for a in range(23) for b in range(a + 1, 23)]
+
+
+def test_small_blocks_and_packed_numbers(spark, monkeypatch):
+    monkeypatch.setattr(D, "BLOCK_CHARS", 50)
+    monkeypatch.setattr(D, "BATCH", 16)
+    rows = [(i, x) for i, x in enumerate(texts(3, 60))]
+    few = {(r.id_a, r.id_b) for r in D.NearDuplicates(spark.createDataFrame(rows, "id int, content string"), n=3, threshold=0.7).pairs().collect()}
+    monkeypatch.undo()
+    assert few == {(r.id_a, r.id_b) for r in D.NearDuplicates(spark.createDataFrame(rows, "id int, content string"), n=3, threshold=0.7).pairs().collect()}
+    for x in ([], [0], [5, 5, 2**40 - 1], list(range(1000))):
+        a = np.array(x, np.uint64)
+        assert D.unpack(D.pack(a)).tolist() == x and D.unpack_sorted(D.pack_sorted(np.sort(a))).tolist() == sorted(x)
+
+
 def test_empty_table(spark):
     d = D.NearDuplicates(spark.createDataFrame([], "id int, content string"))
     assert d.pairs().count() == 0 and d.groups().count() == 0

@@ -117,8 +117,8 @@ def test_pack_whole(spark):
 
 def test_token_count(spark):
     df = spark.createDataFrame([(1, "hello world"), (2, ""), (3, None), (4, "a " * 200_000)], "doc_id long, text string")
-    assert [r[0] for r in df.select(P.token_count(F.col("text"))).collect()][:3] == [2, 0, None]
-    assert P.encoding().decode(P.encoding().encode_ordinary("Zürich 12 {x}\n")) == "Zürich 12 {x}\n"
+    assert [r[0] for r in df.select(P.token_count(spark, F.col("text"))).collect()][:3] == [2, 0, None]
+    assert P.encoding(P.vocabulary()).decode(P.encoding(P.vocabulary()).encode_ordinary("Zürich 12 {x}\n")) == "Zürich 12 {x}\n"
 
 
 # --- leaked passages ---------------------------------------------------------------------------------------------------
@@ -191,3 +191,30 @@ def test_no_leaks_in_empty(spark):
     d, i = spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([(1, "a b c")], "item_id int, passage string")
     assert K.find_leaks(d, i).count() == 0
     assert K.find_leaks(spark.createDataFrame([(1, "a b c")], d.schema), i.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("rate", [0.05, 0.15, 0.3])
+def test_edited_copies_are_found(spark, rate):
+    """Passages with words dropped, replaced and added: all of them, and no pair of texts that share nothing."""
+    r = random.Random(9)
+    words = [f"w{k}" for k in range(4000)]
+    items = [(k, " ".join(r.choice(words) for _ in range(80))) for k in range(12)]
+    rows = []
+    for k, passage in items:
+        out = []
+        for x in passage.split():
+            u = r.random()
+            out += [] if u < rate / 3 else [r.choice(words)] if u < 2 * rate / 3 else [x, r.choice(words)] if u < rate else [x]
+        rows.append((k, " ".join(r.choice(words) for _ in range(50)) + " " + " ".join(out)))
+    rows += [(100 + k, " ".join(r.choice(words) for _ in range(150))) for k in range(20)]
+    got = {(x.doc_id, x.item_id) for x in K.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id int, passage string")).collect()}
+    assert got == {(k, k) for k, _ in items}
+
+
+def test_packing_keeps_its_rules(spark):
+    sizes = spark.createDataFrame([(k, (k * 37) % 90 + 1) for k in range(500)] + [(900, None), (901, 0), (902, 1000)], "doc_id long, tokens long").repartition(3)
+    specs = spark.createDataFrame([("s", 100, 1), ("m", 256, None)], "spec_name string, capacity_tokens int, separator_tokens int")
+    got = P.violations(P.pack(sizes, specs, most_open=8), sizes, specs).collect()
+    assert sorted(tuple(r) for r in got) == [("m", 501, 0, 0, 0), ("s", 501, 0, 0, 0)]
+    bad = P.pack(sizes, specs).withColumn("tokens", F.when(F.col("doc_id") == 3, 99).otherwise(F.col("tokens")))
+    assert all(r.wrong_total == 1 for r in P.violations(bad, sizes, specs).collect())
