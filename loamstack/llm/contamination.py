@@ -1,8 +1,8 @@
 """Evaluation passages in training texts: rare n-gram seeds find candidates, Smith-Waterman alignment scores them.
 
 Texts are compared as words (runs of letters and digits of the visual form, without letter case), each word a 64-bit hash.
-1. Every n-gram of every item goes into a bitmap, sized by their number; documents are scanned once and those with a hit are kept
-   with their word hashes and hits.
+1. Every n-gram of every item goes into a bitmap, sized by their number, and up to a number of them into a sorted list; documents are
+   scanned once and those with a hit are kept with their word hashes and hits.
 2. For edited copies every n-gram of an item is a seed, as an edit takes away the rarest ones. For whole runs alone, of each
    window of `run` words the n-gram rarest in the corpus is the seed, so each run of that length holds at least one.
 3. Documents sharing a seed with an item are candidates; the alignment of the whole document with
@@ -26,6 +26,7 @@ WORD = re.compile(r"[^\W_]+")
 NGRAM = 5
 LEAST_BITS, MOST_BITS = 16, 29  # as powers of two: up to 64 MB
 MIX = np.uint64(0x9E3779B97F4A7C15)
+MOST_SEEDS = 1 << 22  # up to 32 MB
 BROADCAST_BYTES = 16 << 20
 
 
@@ -115,24 +116,28 @@ def _item_seeds(items: DataFrame, n: int) -> DataFrame:
     return items.where("passage IS NOT NULL").mapInPandas(scan, f"item_id {kind}, pos int, seed long, words array<long>")
 
 
-def _bitmap(seeds: DataFrame) -> tuple[np.ndarray, int]:
-    """All seeds as bits, 32 or more a seed so that a n-gram of no item rarely passes; beyond 2^MOST_BITS bits they only get fuller.
-
-    Each of a few tasks sends one map.
-    """
-    power = min(MOST_BITS, max(LEAST_BITS, (32 * seeds.count()).bit_length()))
+def _bitmap(seeds: DataFrame) -> tuple[np.ndarray, int, np.ndarray | None]:
+    """All seeds as bits, 64 or more a seed, beyond 2^MOST_BITS bits only fuller; and sorted, if there are at most MOST_SEEDS of them,
+    else n-grams that only look like a seed pass and are sorted out by the join. Each of a few tasks sends one map."""
+    count = seeds.count()
+    power = min(MOST_BITS, max(LEAST_BITS, (64 * count).bit_length()))
+    whole = count <= MOST_SEEDS
 
     def fill(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = np.zeros(1 << (power - 3), np.uint8)
+        bits, held = np.zeros(1 << (power - 3), np.uint8), [np.empty(0, np.uint64)]
         for p in parts:
-            s = _slot(p["seed"].to_numpy().view(np.uint64), power)
+            x = np.unique(p["seed"].to_numpy().view(np.uint64))
+            s = _slot(x, power)
             np.bitwise_or.at(bits, s >> 3, (128 >> (s & 7)).astype(np.uint8))
-        yield pd.DataFrame({"bits": [bits.tobytes()]})
+            if whole:
+                held.append(x)
+        yield pd.DataFrame({"bits": [bits.tobytes()], "seeds": [np.unique(np.concatenate(held)).tobytes()]})
 
-    out = np.zeros(1 << (power - 3), np.uint8)
-    for r in seeds.select("seed").coalesce(4).mapInPandas(fill, "bits binary").toLocalIterator():
+    out, lists = np.zeros(1 << (power - 3), np.uint8), [np.empty(0, np.uint64)]
+    for r in seeds.select("seed").coalesce(4).mapInPandas(fill, "bits binary, seeds binary").toLocalIterator():
         out |= np.frombuffer(r.bits, np.uint8)
-    return out, power
+        lists.append(np.frombuffer(r.seeds, np.uint64))
+    return out, power, np.unique(np.concatenate(lists)) if whole else None
 
 
 def _small(df: DataFrame, size) -> DataFrame:
@@ -150,11 +155,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, run: int = 13, n: int = NGRAM,
     """
     spark = docs.sparkSession
     seeds = cut(_item_seeds(items.select("item_id", "passage"), n))
-    bits = spark.sparkContext.broadcast(_bitmap(seeds))  # 64 MB at most
+    bits = spark.sparkContext.broadcast(_bitmap(seeds))  # 96 MB at most
     kind = docs.schema[identifier].dataType.simpleString()
 
     def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        there, power = bits.value
+        there, power, known = bits.value
         for p in parts:
             ids, words, hits = [], [], []
             for i, t in zip(p["id"], p["t"]):
@@ -164,6 +169,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, run: int = 13, n: int = NGRAM,
                 g = ngram_hashes(w, n)
                 s = _slot(g, power)
                 hit = g[(there[s >> 3] >> (7 - (s & 7)).astype(np.uint8)) & 1 == 1]
+                if known is not None and len(hit):
+                    at = np.searchsorted(known, hit)
+                    hit = hit[known[np.minimum(at, len(known) - 1)] == hit]
                 if len(hit):
                     ids.append(i)
                     words.append(w.view(np.int64))
