@@ -42,3 +42,12 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise `df` in the shared folder: later uses read it instead of computing it again."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """`df` in as many partitions as there are cores if it is read in fewer, as a small table of one file is; larger ones stay as they are.
+
+    For work that is dear by the row. Only a table of fewer splits than cores is ever moved, so what is moved is bounded.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
