@@ -332,6 +332,6 @@ def find_credentials(df: DataFrame, text: str = "content", path: str = "file_pat
             yield pd.DataFrame(rows, columns=["f", "t", "p"] if with_text else ["f"])
 
     kind = "f array<struct<line_no int, kind string, verified boolean>>" + (", t string, p string" if with_text else "")
-    out = df.withColumn("_cred", F.pandas_udf(run, kind)(F.col(text), F.col(path), F.col(language)))
+    out = df.withColumn("_cred", F.pandas_udf(run, kind).asNondeterministic()(F.col(text), F.col(path), F.col(language)))
     cols = {"cred_findings": F.col("_cred.f")} | ({"cred_text": F.col("_cred.t"), "cred_path": F.col("_cred.p")} if with_text else {})
     return out.withColumns(cols).drop("_cred")

@@ -346,7 +346,7 @@ def statement_column(spark: SparkSession, text: Column) -> Column:
         for s in parts:
             yield pd.Series([statement(t, m) for t in s], dtype=object)
 
-    return F.pandas_udf(run, "string")(text)
+    return F.pandas_udf(run, "string").asNondeterministic()(text)
 
 
 def is_top_licence_file(path: Column) -> Column:

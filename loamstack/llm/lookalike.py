@@ -205,7 +205,7 @@ def visual_column(text: Column) -> Column:
         for s in parts:
             yield pd.Series([None if x is None else t.apply(x) for x in s], dtype=object)
 
-    return F.pandas_udf(run, "string")(text)
+    return F.pandas_udf(run, "string").asNondeterministic()(text)
 
 
 def _stored_forms(df: DataFrame, identifier: str, text: str) -> DataFrame:

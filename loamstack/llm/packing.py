@@ -54,7 +54,7 @@ def token_count(spark: SparkSession, text: Column, folder: str = TOKENIZERS, nam
         for s in parts:
             yield pd.Series([None if t is None else len(e.encode_ordinary(t)) for t in s], dtype="Int64")
 
-    return F.pandas_udf(run, "long")(text)
+    return F.pandas_udf(run, "long").asNondeterministic()(text)
 
 
 class BestFit:

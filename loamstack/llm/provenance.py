@@ -130,7 +130,7 @@ def marks_column(path: Column, text: Column, language: Column) -> Column:
         for p, t, g in parts:
             yield pd.DataFrame([marks(a, b, c) for a, b, c in zip(p, t, g)], columns=["origin", "weak"])
 
-    return F.pandas_udf(run, "origin string, weak boolean")(path, text, language)
+    return F.pandas_udf(run, "origin string, weak boolean").asNondeterministic()(path, text, language)
 
 
 BROADCAST_ROWS = 500_000

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loamstack.config import cut
+from loamstack.config import cut, spread
 from loamstack.llm.contamination import find_leaks
 from loamstack.llm.lookalike import EMOJI_RANGES, same_look_classes, same_look_pairs, tables, visual_column
 from loamstack.llm.packing import pack, summary, token_count, violations
@@ -37,8 +37,12 @@ def query(sql: str | None = None):
     return add
 
 
+def _documents(spark, d):
+    return spread(table(spark, d, "documents").select("doc_id", "text"))
+
+
 def _sizes(spark, d):
-    return table(spark, d, "documents").select("doc_id", token_count(spark, F.col("text")).alias("tokens"))
+    return _documents(spark, d).select("doc_id", token_count(spark, F.col("text")).alias("tokens"))
 
 
 def _packed(spark, d):
@@ -65,7 +69,7 @@ def p7_rules(spark, d):
 
 
 def _leaks(spark, d, edited: bool):
-    return find_leaks(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "eval_items"), edited=edited)
+    return find_leaks(_documents(spark, d), table(spark, d, "eval_items"), edited=edited)
 
 
 _FORM, _LOOK = form_sql("text")
@@ -94,16 +98,16 @@ _FORMS_SQL = f"WITH {_LOOK}, d AS (SELECT doc_id, text, {_FORM} AS form FROM doc
 @query(_FORMS_SQL + "SELECT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM d a JOIN d b ON a.form = b.form AND a.doc_id < b.doc_id AND a.text <> b.text")
 def p9_found(spark, d):
     """Pairs of documents that read the same but are stored differently."""
-    return same_look_pairs(table(spark, d, "documents")).select(F.col("id_a").alias("doc_id_a"), F.col("id_b").alias("doc_id_b"))
+    return same_look_pairs(_documents(spark, d)).select(F.col("id_a").alias("doc_id_a"), F.col("id_b").alias("doc_id_b"))
 
 
 @query(_FORMS_SQL + "SELECT sha256(text) AS raw, min(doc_id) AS first_id, count(*) AS rows FROM d GROUP BY form, text QUALIFY count(*) OVER (PARTITION BY form) > 1")
 def p9_classes(spark, d):
     """Stored texts whose form has several, each with its first document and number of copies."""
-    return same_look_classes(table(spark, d, "documents")).drop("form")
+    return same_look_classes(_documents(spark, d)).drop("form")
 
 
 @query()
 def p9_forms(spark, d):
     """Every document in its one form."""
-    return table(spark, d, "documents").select("doc_id", visual_column(F.col("text")).alias("text"))
+    return _documents(spark, d).select("doc_id", visual_column(F.col("text")).alias("text"))

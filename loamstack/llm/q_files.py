@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from loamstack.llm.credentials import find_credentials
 from loamstack.llm.licenses import file_licences, repository_licences
 from loamstack.llm.near_duplicates import NearDuplicates
+from loamstack.config import spread
 from loamstack.functions.scalars import canonical_repo
 from loamstack.llm.provenance import classify_files, line_copies, marked_files
 from loamstack.llm.radix_cap import cap_contributors
@@ -29,7 +30,8 @@ def query(sql: str | None = None):
 
 
 def _files(spark, d, *cols: str):
-    return table(spark, d, "processed_files").select(*cols)
+    df = table(spark, d, "processed_files").select(*cols)
+    return spread(df) if "content" in cols else df
 
 
 P1_KEEP = 15
